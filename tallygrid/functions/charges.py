@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.functions.calendar import inclusive_days
+from tallygrid.functions.calendar import inclusive_days, representative_month
 from tallygrid.functions.numeric import per_day, times, zero_rate
 
 # Reported measure per kind of charge, as (label, code suffix).
@@ -110,49 +110,67 @@ def counts_as_volume(line: Line) -> Column:
     return (supply & (electricity | (line.fuel == "GAS"))) | (line.plan != "DAILY_RETAIL")
 
 
-def _kinds(line: Line, solar: list[tuple[str, Column]], anytime_pattern: str) -> list[tuple[str, Column]]:
-    rules = [
+def _first(*rules: tuple[str, Column]) -> Column:
+    (kind, test), *rest = rules
+    return reduce(lambda chain, rule: chain.when(rule[1], rule[0]), rest, F.when(test, kind))
+
+
+def leading_kind(line: Line) -> Column:
+    """Kind of charge by the rules volume and revenue start with."""
+    return _first(
         ("consumption", (line.fuel == "GAS") & (line.plan != "DAILY_RETAIL")),
         ("climate", line.time_class.isin(*CLIMATE_CLASSES)),
         ("demand", (line.plan == "DEMAND_RETAIL") | F.upper(line.text).like("%DEMAND%")),
         ("supply", line.plan == "DAILY_RETAIL"),
-        *solar,
-        ("controlled", line.display_group == "CONTROLLED"),
-        ("anytime", line.text.like(anytime_pattern)),
-        ("off_peak", line.text.like("%Off Peak%")),
-    ]
-    return rules + [(kind, line.time_class == name) for name, kind in TIME_CLASS_KINDS.items()]
+    )
 
 
-def _first_match(rules: list[tuple[str, Column]], value: dict[str, str]) -> Column:
-    (kind, test), *rest = rules
-    return reduce(lambda chain, rule: chain.when(rule[1], value[rule[0]]), rest, F.when(test, value[kind]))
+def trailing_kind(line: Line) -> Column:
+    """Kind of charge by text and time class, as the codes see it."""
+    return _first(
+        ("anytime", line.text.like("Any Time Usage%")),
+        ("off_peak", line.text.like("%Off Peak%")),
+        *[(kind, line.time_class == name) for name, kind in TIME_CLASS_KINDS.items()],
+    )
 
 
-# The label rule finds the any-time text anywhere, the code rule only at the start.
-_LABEL_ANYTIME = "%Any Time Usage%"
-_CODE_ANYTIME = "Any Time Usage%"
+def _label_kind(line: Line, trailing: Column) -> Column:
+    """Labels find the any-time text anywhere, codes only at the start."""
+    return F.when(line.text.like("%Any Time Usage%"), "anytime").otherwise(trailing)
 
 
-def _volume_solar(line: Line) -> list[tuple[str, Column]]:
+def _volume_kind(line: Line, leading: Column, trailing: Column) -> Column:
     solar = line.display_group == "SOLAR"
-    return [("solar", solar & (line.net != 0)), ("solar_zero", solar & (line.net == 0))]
+    middle = _first(
+        ("solar", solar & (line.net != 0)),
+        ("solar_zero", solar & (line.net == 0)),
+        ("controlled", line.display_group == "CONTROLLED"),
+    )
+    return F.coalesce(leading, middle, trailing)
+
 
+def _revenue_kind(line: Line, leading: Column, trailing: Column) -> Column:
+    middle = _first(
+        ("solar", (line.display_group == "SOLAR") | (line.plan == "CONTRIBUTION")),
+        ("controlled", line.display_group == "CONTROLLED"),
+    )
+    return F.coalesce(leading, middle, trailing)
 
-def _revenue_solar(line: Line) -> list[tuple[str, Column]]:
-    return [("solar", (line.display_group == "SOLAR") | (line.plan == "CONTRIBUTION"))]
 
+def _lookup(texts: dict[str, str], kind: Column) -> Column:
+    return F.create_map(*[F.lit(part) for item in texts.items() for part in item])[kind]
 
-def volume_name(line: Line) -> Column:
+
+def volume_name(line: Line, leading: Column, trailing: Column) -> Column:
     names = {kind: f"Volume - {label}" for kind, (label, _) in MEASURES.items()}
     names["supply"] = "Billing Days - Supply Charge"
-    return _first_match(_kinds(line, _volume_solar(line), _LABEL_ANYTIME), names)
+    return _lookup(names, _volume_kind(line, leading, _label_kind(line, trailing)))
 
 
-def volume_code(line: Line) -> Column:
+def volume_code(line: Line, leading: Column, trailing: Column) -> Column:
     codes = {kind: f"VOL_{suffix}" for kind, (_, suffix) in MEASURES.items()}
     codes["supply"] = "DAY_SUPPLY"
-    return _first_match(_kinds(line, _volume_solar(line), _CODE_ANYTIME), codes)
+    return _lookup(codes, _volume_kind(line, leading, trailing))
 
 
 def volume_unit(line: Line) -> Column:
@@ -164,14 +182,14 @@ def volume_unit(line: Line) -> Column:
     )
 
 
-def revenue_name(line: Line) -> Column:
+def revenue_name(line: Line, leading: Column, trailing: Column) -> Column:
     names = {kind: f"Revenue - {label}" for kind, (label, _) in MEASURES.items()}
-    return _first_match(_kinds(line, _revenue_solar(line), _LABEL_ANYTIME), names)
+    return _lookup(names, _revenue_kind(line, leading, _label_kind(line, trailing)))
 
 
-def revenue_code(line: Line) -> Column:
+def revenue_code(line: Line, leading: Column, trailing: Column) -> Column:
     codes = {kind: f"REV_{suffix}" for kind, (_, suffix) in MEASURES.items()}
-    return _first_match(_kinds(line, _revenue_solar(line), _CODE_ANYTIME), codes)
+    return _lookup(codes, _revenue_kind(line, leading, trailing))
 
 
 def daily_rate(line: Line) -> Column:
@@ -179,19 +197,58 @@ def daily_rate(line: Line) -> Column:
     return per_day(line.quantity * line.multiplier, inclusive_days(line.start, line.end))
 
 
-def _magnitude(line: Line) -> Column:
+def _magnitude(line: Line, rate: Column) -> Column:
     contribution = (line.region == "SA") & (line.plan_id == CONTRIBUTION_PLAN)
-    return F.abs(F.when(contribution, zero_rate()).otherwise(daily_rate(line)))
+    return F.abs(F.when(contribution, zero_rate()).otherwise(rate))
 
 
-def signed_quantity(line: Line) -> Column:
+def signed_quantity(line: Line, rate: Column) -> Column:
     """Daily quantity with the sign of the net amount."""
-    return times(_magnitude(line), F.signum(line.net).cast("decimal(1,0)"))
+    return times(_magnitude(line, rate), F.signum(line.net).cast("decimal(1,0)"))
+
 
+def zero_rated_quantity(line: Line, rate: Column) -> Column:
+    return F.when(zero_rated_solar(line), -_magnitude(line, rate)).otherwise(zero_rate())
 
-def zero_rated_quantity(line: Line) -> Column:
-    return F.when(zero_rated_solar(line), -_magnitude(line)).otherwise(zero_rate())
 
+def daily_amount(line: Line, rate: Column) -> Column:
+    return times(rate, line.rate.cast("decimal(18,6)"))
 
-def daily_amount(line: Line) -> Column:
-    return times(daily_rate(line), line.rate.cast("decimal(18,6)"))
+
+def with_charge_parts(lines: DataFrame) -> DataFrame:
+    """Add the columns several measures of one line are computed from.
+
+    As columns they are evaluated once, and the generated code stays in methods
+    small enough to be compiled.
+    """
+    line = registry_line()
+    return lines.select(
+        "*",
+        leading_kind(line).alias("leading_kind"),
+        trailing_kind(line).alias("trailing_kind"),
+        daily_rate(line).alias("line_rate"),
+        zero_rated_flag(line).alias("solar_zr"),
+        representative_month(line.start, line.end).alias("rmp_mth_no"),
+    )
+
+
+def volume_measures(line: Line) -> list[Column]:
+    """Measures of a line that went through :func:`with_charge_parts`."""
+    kinds = F.col("leading_kind"), F.col("trailing_kind")
+    return [
+        volume_name(line, *kinds).alias("measure_name"),
+        volume_code(line, *kinds).alias("measure_code"),
+        volume_unit(line).alias("measure_unit"),
+        signed_quantity(line, F.col("line_rate")).alias("daily_unit_quantity"),
+        zero_rated_quantity(line, F.col("line_rate")).alias("daily_unit_quantity_zr"),
+    ]
+
+
+def revenue_measures(line: Line) -> list[Column]:
+    kinds = F.col("leading_kind"), F.col("trailing_kind")
+    return [
+        revenue_name(line, *kinds).alias("measure_name"),
+        revenue_code(line, *kinds).alias("measure_code"),
+        F.lit("$").alias("measure_unit"),
+        daily_amount(line, F.col("line_rate")).alias("daily_amt"),
+    ]

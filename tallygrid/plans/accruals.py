@@ -91,7 +91,7 @@ def actuals(core: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame
 
 
 def existing_accruals(core: DataFrame, profile: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame:
-    """Unbilled days after the latest bill, volumes scaled by season."""
+    """Unbilled days after the latest bill, volumes scaled by season. ``core`` carries the bill ranks."""
     latest = (
         latest_with_ties(core, "bill_sdt_rnk", "bill_edt_rnk")
         .filter(F.col("bill_edt") <= F.lit(params.period_end))

@@ -173,32 +173,16 @@ def invoice_volume(registry_rows: DataFrame) -> DataFrame:
     """Daily quantities per registry line."""
     line = charges.registry_line()
     kept = registry_rows.filter(charges.counts_as_charge(line) & charges.counts_as_volume(line))
-    return kept.select(
-        *_line_header(
-            charges.volume_name(line).alias("measure_name"),
-            charges.volume_code(line).alias("measure_code"),
-            charges.volume_unit(line).alias("measure_unit"),
-        ),
-        charges.zero_rated_flag(line).alias("solar_zr"),
-        charges.signed_quantity(line).alias("daily_unit_quantity"),
-        charges.zero_rated_quantity(line).alias("daily_unit_quantity_zr"),
-        representative_month(line.start, line.end).alias("rmp_mth_no"),
-    ).distinct()
+    header = _line_header(*charges.volume_measures(line), "solar_zr", "rmp_mth_no")
+    return charges.with_charge_parts(kept).select(*header).distinct()
 
 
 def invoice_revenue(registry_rows: DataFrame) -> DataFrame:
     """Daily amounts per registry line."""
     line = charges.registry_line()
-    return registry_rows.filter(charges.counts_as_charge(line)).select(
-        *_line_header(
-            F.lit("$").alias("measure_unit"),
-            charges.revenue_name(line).alias("measure_name"),
-            charges.revenue_code(line).alias("measure_code"),
-        ),
-        charges.zero_rated_flag(line).alias("solar_zr"),
-        charges.daily_amount(line).alias("daily_amt"),
-        representative_month(line.start, line.end).alias("rmp_mth_no"),
-    ).distinct()
+    kept = registry_rows.filter(charges.counts_as_charge(line))
+    header = _line_header(*charges.revenue_measures(line), "solar_zr", "rmp_mth_no")
+    return charges.with_charge_parts(kept).select(*header).distinct()
 
 
 def _discount_row(kind: tuple[str, str, str], amount: Column, net: Column) -> Column:
@@ -344,14 +328,14 @@ def _sparse(rows: DataFrame) -> DataFrame:
 
 
 def _finish_core(rows: DataFrame) -> DataFrame:
-    """Dedupe, clean texts, key by segment, rank bills.
+    """Dedupe, clean texts, key by segment.
 
     The measures of volume, revenue and discount rows never share a name, so
     one distinct over the union equals a distinct per branch.
     """
     cleaned = clean_description(F.col("trans_description"))
     unique = rows.filter(F.col("measure_name").isNotNull()).distinct()
-    described = unique.select(
+    return unique.select(
         *BILL,
         cleaned.alias("ex_charge_desc_orion"),
         "cntrl_load",
@@ -363,9 +347,11 @@ def _finish_core(rows: DataFrame) -> DataFrame:
         segment_hash(F.col("rmp_mth_no")).alias("record_hash"),
         charge_description(F.col("trans_description"), cleaned).alias("ex_charge_desc"),
     )
-    return with_dense_ranks(
-        described, "seq_product_item_id", {"bill_sdt": "bill_sdt_rnk", "bill_edt": "bill_edt_rnk"}
-    )
+
+
+def ranked_bills(core: DataFrame) -> DataFrame:
+    """Rank the bills of an account by both dates. ``core`` is read twice, so it should be written first."""
+    return with_dense_ranks(core, "seq_product_item_id", {"bill_sdt": "bill_sdt_rnk", "bill_edt": "bill_edt_rnk"})
 
 
 def invoice_core(volume: DataFrame, revenue: DataFrame, discount: DataFrame) -> DataFrame:
@@ -376,24 +362,15 @@ def invoice_core(volume: DataFrame, revenue: DataFrame, discount: DataFrame) ->
 def charge_rows(lines: DataFrame) -> DataFrame:
     """Volume and revenue rows in one pass over the lines."""
     line = charges.registry_line()
-    volume = F.struct(
-        charges.volume_name(line).alias("measure_name"),
-        charges.volume_code(line).alias("measure_code"),
-        charges.volume_unit(line).alias("measure_unit"),
-        null_rate().alias("daily_amt"),
-        charges.signed_quantity(line).alias("daily_unit_quantity"),
-        charges.zero_rated_quantity(line).alias("daily_unit_quantity_zr"),
-    )
+    volume = F.struct(*charges.volume_measures(line), null_rate().alias("daily_amt"))
     revenue = F.struct(
-        charges.revenue_name(line).alias("measure_name"),
-        charges.revenue_code(line).alias("measure_code"),
-        F.lit("$").alias("measure_unit"),
-        charges.daily_amount(line).alias("daily_amt"),
+        *charges.revenue_measures(line)[:3],
         null_rate().alias("daily_unit_quantity"),
         null_rate().alias("daily_unit_quantity_zr"),
+        charges.revenue_measures(line)[3],
     )
-    both = F.array(F.when(charges.counts_as_volume(line), volume), revenue)
-    return lines.filter(charges.counts_as_charge(line)).select(
+    counted = charges.with_charge_parts(lines.filter(charges.counts_as_charge(line)))
+    measured = counted.select(
         *ACCOUNT,
         "seq_product_item_id",
         *SERVICE,
@@ -401,10 +378,12 @@ def charge_rows(lines: DataFrame) -> DataFrame:
         line.end.alias("bill_edt"),
         "trans_description",
         "cntrl_load",
-        charges.zero_rated_flag(line).alias("solar_zr"),
-        representative_month(line.start, line.end).alias("rmp_mth_no"),
-        F.inline(both),
+        "solar_zr",
+        "rmp_mth_no",
+        F.when(charges.counts_as_volume(line), volume).alias("volume"),
+        revenue.alias("revenue"),
     )
+    return measured.select("*", F.inline(F.array("volume", "revenue"))).drop("volume", "revenue")
 
 
 def invoice_core_from_posted(src: BillingSources, posted: DataFrame) -> DataFrame:

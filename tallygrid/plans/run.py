@@ -46,7 +46,7 @@ def accrual_run(src: BillingSources, params: RunParams, stage: Stage = inline) -
     )
     unbilled = accounts.never_billed_accounts(active, billing.bill_lines(src, posted))
     actual = accruals.actuals(core, horizon, params)
-    existing = accruals.existing_accruals(core, profile, horizon, params)
+    existing = accruals.existing_accruals(billing.ranked_bills(core), profile, horizon, params)
     imputed = accruals.never_billed_accruals(
         accounts.never_billed_months(unbilled, horizon, params), profile
     )

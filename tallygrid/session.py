@@ -50,6 +50,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{uuid.uuid4().hex}/{name}"
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Give every core a share of a scan with fewer splits than cores.
+
+    A table of that few splits is small, so the extra shuffle is too. A table
+    that already has enough splits is returned unchanged.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 class Staging:
     """Writes intermediates as Parquet below the shared folder and reads them back.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.operators.horizons import day_calendar
 from tallygrid.params import RunParams
+from tallygrid.session import spread
 from tallygrid.sources.literals import CHARGE_TEMPLATES, LOOKUPS, values_sql
 from tallygrid.sources.tables import BillingSources
 
@@ -183,7 +184,7 @@ def billing_sources(spark: SparkSession, sf_dir: str) -> BillingSources:
         utilitynetwork=nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("description"), current),
         jurisdiction=region.select(F.col("r_regionkey").alias("id"), region_name.alias("name"), current),
         invoice=_invoices(orders),
-        invoicelineitem=_line_items(spark, lineitem, orders),
+        invoicelineitem=_line_items(spark, spread(lineitem), orders),
         dim_date=order_calendar(orders),
         **{name: spark.sql(values_sql(lookup)) for name, lookup in LOOKUPS.items()},
     )
