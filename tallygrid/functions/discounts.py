@@ -37,7 +37,7 @@ def rounded_discount(total: Column) -> Column:
 
 
 def formatted_discount(total: Column) -> Column:
-    return F.format_number(before_tax(total), "0.000")
+    return F.call_function("format_number", before_tax(total), F.lit("0.000"))
 
 
 def discount_code(kind: tuple[str, str, str], fuel: Column) -> Column:
