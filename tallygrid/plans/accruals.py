@@ -138,9 +138,20 @@ def existing_accruals(core: DataFrame, profile: DataFrame, horizon: DataFrame, p
 
 
 def never_billed_accruals(months: DataFrame, profile: DataFrame) -> DataFrame:
-    """Segment averages for accounts without any bill; bill dates are the text ``NULL``."""
-    owners = months.select("record_hash", "seq_product_item_id", "mth_sdt", "mth_edt", "service_sdt", "service_edt")
-    charged = owners.join(profile.filter(~F.col("trans_description").like("%Import%")), "record_hash")
+    """Segment averages for accounts without any bill; bill dates are the text ``NULL``.
+
+    Each account month turns into one row per charge of its segment. The months
+    are few and the result is large, so they are spread by account and month over
+    all shuffle partitions first; a fixed partition count is not merged again at
+    run time. With distinct months and one profile row per charge the result has
+    no repeated rows.
+    """
+    owners = months.select(
+        "record_hash", "seq_product_item_id", "mth_sdt", "mth_edt", "service_sdt", "service_edt"
+    ).distinct()
+    partitions = int(months.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread_owners = owners.repartition(partitions, "seq_product_item_id", "mth_sdt")
+    charged = spread_owners.join(profile.filter(~F.col("trans_description").like("%Import%")), "record_hash")
     days = overlap_days(*(F.col(c) for c in ("mth_sdt", "mth_edt", "service_sdt", "service_edt")))
 
     def rate(column: str, zero_rated: Column) -> Column:
@@ -162,4 +173,4 @@ def never_billed_accruals(months: DataFrame, profile: DataFrame) -> DataFrame:
         .withColumns({column: F.col(f"avg_{column}") for column in daily})
         .withColumns({"bill_sdt": F.lit("NULL"), "bill_edt": F.lit("NULL")})
     )
-    return _labelled(measured, "Accrual (Never Billed)").distinct()
+    return _labelled(measured, "Accrual (Never Billed)")

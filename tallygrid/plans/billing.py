@@ -333,11 +333,11 @@ def _finish_core(rows: DataFrame) -> DataFrame:
     The measures of volume, revenue and discount rows never share a name, so
     one distinct over the union equals a distinct per branch.
     """
-    cleaned = clean_description(F.col("trans_description"))
     unique = rows.filter(F.col("measure_name").isNotNull()).distinct()
-    return unique.select(
+    cleaned = unique.withColumn("ex_charge_desc_orion", clean_description(F.col("trans_description")))
+    return cleaned.select(
         *BILL,
-        cleaned.alias("ex_charge_desc_orion"),
+        "ex_charge_desc_orion",
         "cntrl_load",
         "solar_zr",
         *MEASURE,
@@ -345,7 +345,7 @@ def _finish_core(rows: DataFrame) -> DataFrame:
         "rmp_mth_no",
         F.lit("MM").alias("market_segment"),
         segment_hash(F.col("rmp_mth_no")).alias("record_hash"),
-        charge_description(F.col("trans_description"), cleaned).alias("ex_charge_desc"),
+        charge_description(F.col("trans_description"), F.col("ex_charge_desc_orion")).alias("ex_charge_desc"),
     )
 
 
