@@ -292,8 +292,8 @@ def charge_text(text: str, cleaned: str) -> str:
 CTES["core"] = f"""
 SELECT *, {segment_md5('rmp_mth_no')} AS record_hash, 'MM' AS market_segment,
        {charge_text('trans_description', 'ex_charge_desc_orion')} AS ex_charge_desc,
-       dense_rank() OVER (PARTITION BY seq_product_item_id ORDER BY bill_sdt DESC NULLS LAST) AS bill_sdt_rnk,
-       dense_rank() OVER (PARTITION BY seq_product_item_id ORDER BY bill_edt DESC NULLS LAST) AS bill_edt_rnk
+       CAST(dense_rank() OVER (PARTITION BY seq_product_item_id ORDER BY bill_sdt DESC NULLS LAST) AS INTEGER) AS bill_sdt_rnk,
+       CAST(dense_rank() OVER (PARTITION BY seq_product_item_id ORDER BY bill_edt DESC NULLS LAST) AS INTEGER) AS bill_edt_rnk
 FROM (SELECT *, {cut_text('trans_description')} AS ex_charge_desc_orion FROM (
 {_core_branch('volume', dict(daily_unit_quantity='daily_unit_quantity', daily_unit_quantity_zr='daily_unit_quantity_zr'))}
 UNION ALL {_core_branch('revenue', dict(daily_amt='daily_amt'))}
