@@ -18,6 +18,7 @@ from tallygrid.functions.numeric import zero_rate
 from tallygrid.operators.overlaps import overlap_explode
 from tallygrid.operators.profiles import segment_profile
 from tallygrid.operators.ranking import latest_with_ties
+from tallygrid.operators.skew import salted_join, salts_for
 from tallygrid.params import RunParams
 
 _LEAD = (
@@ -141,17 +142,20 @@ def never_billed_accruals(months: DataFrame, profile: DataFrame) -> DataFrame:
     """Segment averages for accounts without any bill; bill dates are the text ``NULL``.
 
     Each account month turns into one row per charge of its segment. The months
-    are few and the result is large, so they are spread by account and month over
-    all shuffle partitions first; a fixed partition count is not merged again at
-    run time. With distinct months and one profile row per charge the result has
-    no repeated rows.
+    are few and the result is large, so the join is salted, and the months are
+    spread over all shuffle partitions first; a fixed partition count is not
+    merged again at run time. With distinct months and one profile row per charge
+    the result has no repeated rows.
     """
     owners = months.select(
         "record_hash", "seq_product_item_id", "mth_sdt", "mth_edt", "service_sdt", "service_edt"
     ).distinct()
     partitions = int(months.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread_owners = owners.repartition(partitions, "seq_product_item_id", "mth_sdt")
-    charged = spread_owners.join(profile.filter(~F.col("trans_description").like("%Import%")), "record_hash")
+    charges = profile.filter(~F.col("trans_description").like("%Import%"))
+    charged = salted_join(
+        spread_owners, charges, ["record_hash"], ["seq_product_item_id", "mth_sdt"], salts_for(partitions)
+    )
     days = overlap_days(*(F.col(c) for c in ("mth_sdt", "mth_edt", "service_sdt", "service_edt")))
 
     def rate(column: str, zero_rated: Column) -> Column:

@@ -13,6 +13,7 @@ from tallygrid.operators.horizons import calendar_between, month_horizon, traili
 from tallygrid.operators.overlaps import cross_overlap, overlap_explode, overlap_join
 from tallygrid.operators.ranking import latest_with_ties, with_dense_ranks
 from tallygrid.operators.scd import scd2_current
+from tallygrid.operators.skew import salted_join, salts_for
 from tallygrid.params import MonthRange, RunParams
 
 D = dt.date
@@ -124,6 +125,17 @@ _SKEW = {
 }
 
 
+def test_salted_join_keeps_all_pairs_and_spreads_them(spark):
+    many = spark.range(2000).select((F.col("id") % 3).alias("k"), "id")
+    few = spark.range(12).select((F.col("id") % 4).alias("k"), F.col("id").alias("charge"))
+    expected = bag(many.join(few, "k"))
+    for salts in (1, 16):
+        assert bag(salted_join(many, few, ["k"], ["id"], salts)) == expected
+    assert [salts_for(n) for n in (1, 8, 200, 100_000)] == [1, 1, 6, 32]
+    salts = many.select("k", F.pmod(F.hash("id"), F.lit(16)).alias("s")).distinct()
+    assert salts.count() == 3 * 16
+
+
 def test_current_rows_and_pushed_flag(spark, tmp_path):
     spark.createDataFrame([(1, "a", 1), (1, "b", 0)], "id int, name string, adh_active_flag int").write.parquet(f"{tmp_path}/t")
     current = scd2_current(spark.read.parquet(f"{tmp_path}/t"), "id")
