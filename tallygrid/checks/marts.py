@@ -52,10 +52,19 @@ def _never_billed(src: BillingSources) -> DataFrame:
     return accounts.never_billed_accounts(active, lines)
 
 
-def _core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, stage = sources(spark, sf_dir), Staging(spark)
+def _staged_core(src: BillingSources, stage: Staging) -> DataFrame:
     posted = stage(_posted(src), "posted_lines")
-    return shown(billing.ranked_bills(stage(billing.invoice_core_from_posted(src, posted), "invoice_core")))
+    return stage(billing.invoice_core_from_posted(src, posted), "invoice_core")
+
+
+def _core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(billing.ranked_bills(_staged_core(sources(spark, sf_dir), Staging(spark))))
+
+
+def _actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = sources(spark, sf_dir)
+    core = _staged_core(src, Staging(spark))
+    return shown(accruals.actuals(core, month_horizon(src.dim_date, TEST_RUN), TEST_RUN))
 
 
 def _never_billed_months(src: BillingSources) -> DataFrame:
@@ -74,7 +83,7 @@ QUERIES: dict[str, Query] = {
     "mart_seasonal_profile": _result(lambda run: run.profile),
     "mart_never_billed_accounts": _model(_never_billed),
     "mart_never_billed_months": _model(_never_billed_months),
-    "mart_actuals": _result(lambda run: run.actual),
+    "mart_actuals": _actuals,
     "mart_accrual_existing": _result(lambda run: run.existing),
     "mart_accrual_never_billed": _result(lambda run: run.imputed),
     "mart_detail": _result(lambda run: run.detail),
