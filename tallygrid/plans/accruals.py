@@ -145,7 +145,8 @@ def never_billed_accruals(months: DataFrame, profile: DataFrame) -> DataFrame:
     are few and the result is large, so the join is salted, and the months are
     spread over all shuffle partitions first; a fixed partition count is not
     merged again at run time. With distinct months and one profile row per charge
-    the result has no repeated rows.
+    the result has no repeated rows, unless two segments give the same joined key
+    text, which takes names that start with digits.
     """
     owners = months.select(
         "record_hash", "seq_product_item_id", "mth_sdt", "mth_edt", "service_sdt", "service_edt"
