@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrid.llm import mixing, quality, sharding
+from tallygrid.llm import mixing, ngramjoin, quality, sharding
 from tallygrid.llm.common import table
 from tallygrid.llm.oracles import MIXING
 
@@ -13,6 +13,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.similarity_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
 
@@ -21,5 +25,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op3_mixing, op9_sharding, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op3_mixing, op8_ngram_join, op9_sharding, op10_quality_rules)}
 SQL = {"op3_mixing": MIXING}
