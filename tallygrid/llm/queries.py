@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrid.llm import mixing, ngramjoin, quality, sharding, tokenstore
+from tallygrid.llm import mixing, ngramjoin, quality, repeats, sharding, tokenstore
 from tallygrid.llm.common import table
 from tallygrid.llm.oracles import MIXING
 
@@ -14,6 +14,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_removed(table(spark, sf_dir, "documents"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.stored_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -30,5 +34,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op3_mixing, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op3_mixing, op4_repeats, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules)}
 SQL = {"op3_mixing": MIXING}
