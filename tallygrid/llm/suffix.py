@@ -10,8 +10,8 @@ class Shard:
 
     The array is refined as Larsson and Sadakane do: suffixes are ranked by
     their first h symbols, and only those whose rank is still shared are ranked
-    anew, by the rank h places on, which doubles h. It stops when all ranks
-    differ or h reaches ``depth``.
+    anew, by the rank h places on, which doubles h, until all ranks differ.
+    ``depth`` is the longest common prefix that matters.
     """
 
     def __init__(self, strings: list[bytes], depth: int) -> None:
@@ -41,7 +41,7 @@ class Shard:
         h = 7
         size = np.diff(np.append(heads, n))
         open_ = np.flatnonzero(np.repeat(size > 1, size))  # places in groups of more than one
-        while len(open_) and h < self.depth:
+        while len(open_):
             suffix = array[open_]
             own = rank[suffix]
             after = rank[np.minimum(suffix + h, n)]
