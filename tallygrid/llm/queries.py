@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrid.llm import mixing, ngramjoin, quality, repeats, sharding, tokenstore, toxicity
+from tallygrid.llm import lmscore, mixing, ngramjoin, quality, repeats, sharding, tokenstore, toxicity
 from tallygrid.llm.common import table
 from tallygrid.llm.oracles import MIXING
 
@@ -14,6 +14,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
@@ -38,5 +42,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op3_mixing, op4_repeats, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_lm_scores, op3_mixing, op4_repeats, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules)}
 SQL = {"op3_mixing": MIXING}
