@@ -10,9 +10,9 @@ from collections.abc import Callable
 import numpy as np
 
 #: Remembered stretches of a worker process; beyond that it forgets all and starts again.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
-_MORE_SPACE = re.compile(r"\s")
+_PAIRED_SPACE = re.compile(r"\s\s|\s\Z")
 
 
 def kept(name: str, make: Callable):
@@ -23,51 +23,64 @@ def kept(name: str, make: Callable):
     return place[name]
 
 
+def byte_characters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes with: printable Latin-1 as it is, the others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
+class Stretches(dict):
+    """Each stretch's ids as little-endian 16-bit bytes, found out when first asked for."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.tokenizer, self.model, self.written = tokenizer, tokenizer.model, byte_characters()
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
+
+    def __missing__(self, stretch: str) -> bytes:
+        if (stretch[1:] if stretch[:1] == " " else stretch).isalpha():  # one token of the first split, as letters go together
+            found = self.model.tokenize(stretch.encode().decode("latin-1").translate(self.written))
+            ids = b"".join([t.id.to_bytes(2, "little") for t in found])
+        elif stretch[-1:] in (".", ",") and stretch[-2:-1].isalpha():
+            ids = self[stretch[:-1]] + self[stretch[-1]]
+        else:
+            ids = self.whole(stretch)
+        self[stretch] = ids
+        return ids
+
+
 class Encoder:
     """Ids as little-endian 16-bit bytes.
 
-    In this vocabulary's split a single space between two other characters
-    always starts a new token, so a text is the concatenation of its stretches,
-    each with the space before it. Texts with two spaces in a row or one at the
-    end are encoded whole.
+    This vocabulary first splits a text by character classes. A single space or
+    line end between two other characters always starts a new part there, and
+    after a line end too. So a text is the concatenation of its stretches, a
+    space going with what follows it. Texts with two white spaces in a row or
+    one at the end are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        if self.model.get_vocab_size() > 1 << 16:
+        tokenizer = Tokenizer.from_file(path)
+        if tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids don't fit 16 bits")
-        self.line = self._ids("\n")
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
-
-    def _learn(self, stretches: set[str]) -> None:
-        known = self.known
-        ends = {s for s in stretches if len(s) > 2 and s[-1] in ".," and s[-2].isalpha()}
-        bare = {s[:-1] for s in ends}
-        todo = ((stretches - ends) | bare | ({".", ","} if ends else set())).difference(known)
-        plain = [s for s in todo if s and s != " " and not _MORE_SPACE.search(s, 1)] if len(self.line) == 2 else []
-        if plain:  # one call; no id of a stretch without inner white space is that of a line end
-            joined = self._ids("\n".join(plain))
-            cuts = (np.flatnonzero(np.frombuffer(joined, dtype="<u2") == np.frombuffer(self.line, dtype="<u2")[0]) * 2).tolist()
-            if len(cuts) == len(plain) - 1:
-                known.update(zip(plain, (joined[a:b] for a, b in zip([0, *(c + 2 for c in cuts)], [*cuts, len(joined)], strict=True)), strict=True))
-        for s in todo.difference(known):
-            known[s] = self._ids(s)
-        for s in ends:
-            known[s] = known[s[:-1]] + known[s[-1]]
+        self.known = Stretches(tokenizer)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        cut = [None if "  " in t or t[-1:] == " " or "\x00" in t else t.replace(" ", "\x00 ").split("\x00") for t in texts]
-        self._learn(set().union(*(c for c in cut if c)).difference(self.known))
-        get = self.known.__getitem__
-        return [self._ids(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
+        get, out = self.known.__getitem__, []
+        for t in texts:
+            if "\x00" in t or _PAIRED_SPACE.search(t):
+                out.append(self.known.whole(t))
+            else:
+                out.append(b"".join(map(get, t.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00"))))
+        return out
 
 
 def batches(texts: list[str], size: int = 1 << 20):

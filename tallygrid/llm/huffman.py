@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Longest code in bits, and ids between two checkpoints.
-LIMIT, STRIDE = 16, 256
+LIMIT, STRIDE = 16, 64
 
 
 def code_lengths(counts: np.ndarray) -> np.ndarray:

@@ -23,7 +23,7 @@ from tallygrid.llm.bpe import Encoder, batches, kept
 from tallygrid.llm.common import shared_folder, written
 
 #: Id after each document, and ids a block takes before it ends with its last document.
-END_ID, BLOCK_IDS = 0, 1 << 16
+END_ID, BLOCK_IDS = 0, 1 << 17
 
 BLOCKS = "part int, start long, doc_ids array<long>, doc_tokens array<int>, n int, checkpoints array<int>, bits binary"
 
@@ -57,10 +57,8 @@ def id_counts(encoded: DataFrame) -> np.ndarray:
     def run(frames):
         total = np.zeros(1 << 16, dtype=np.int64)
         for frame in frames:
-            for ids in _unpacked(frame["ids"]):
-                total += np.bincount(ids, minlength=1 << 16) if len(ids) > 5000 else 0
-                if len(ids) <= 5000:
-                    np.add.at(total, ids, 1)
+            for a in range(0, len(frame), 500):
+                total += np.bincount(np.concatenate(_unpacked(frame["ids"].iloc[a : a + 500])), minlength=1 << 16)
         used = np.flatnonzero(total)
         yield pd.DataFrame({"id": used, "n": total[used]})
 
