@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrid.llm import forest, lmscore, mixing, ngramjoin, quality, repeats, sharding, tokenstore, toxicity
+from tallygrid.llm import forest, lmscore, mixing, ngramjoin, quality, repeats, sharding, spm, tokenstore, toxicity
 from tallygrid.llm.common import table
 from tallygrid.llm.oracles import MIXING
 
@@ -30,6 +30,10 @@ def op5_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.stored_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -46,5 +50,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op2_lm_scores, op3_mixing, op4_repeats, op5_hash_forest, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_lm_scores, op3_mixing, op4_repeats, op5_hash_forest, op6_sentencepiece, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules)}
 SQL = {"op3_mixing": MIXING}
