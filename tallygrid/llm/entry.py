@@ -1,8 +1,11 @@
-"""Everything that the subpackage registers."""
+"""Everything that the subpackage and the pipeline register."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tallygrid.llm import queries
 
-QUERIES = dict(queries.QUERIES)
+QUERIES = {**queries.QUERIES, "pipeline": corpus_pipeline.run}
 SQL = dict(queries.SQL)
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
