@@ -135,8 +135,10 @@ def test_join_against_all_pairs(docs_of, k, percent):
     assert kept == set(want.values())
 
 
-def test_join_of_large_groups_in_small_blocks(docs_of, monkeypatch):
+@pytest.mark.parametrize("paired", [1, 3, 16])
+def test_join_of_large_groups_in_small_blocks(docs_of, monkeypatch, paired):
     monkeypatch.setattr(ngramjoin, "BLOCK", 4)
+    monkeypatch.setattr(ngramjoin, "PAIRED", paired)
     rows = near_copies(120, seed=9)
     got = {r.doc_id: r.component_id for r in ngramjoin.similarity_components(docs_of(rows), 4, 85).collect()}
     assert got == brute.components(rows, 4, 85)
