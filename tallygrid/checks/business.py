@@ -269,14 +269,15 @@ def _(t: Tables) -> DataFrame:
     return stored.groupBy("o_custkey", "o_orderstatus", "amount").agg(F.count(F.lit(1)).alias("copies"))
 
 
-@book.add("sink_replace_run", f"SELECT *, 25 AS request_id FROM ({_TOTALS_SQL}) UNION ALL SELECT *, 26 FROM ({_TOTALS_SQL}) WHERE o_orderstatus = 'O'")
+@book.add("sink_replace_run", f"SELECT *, '025' AS request_id FROM ({_TOTALS_SQL}) UNION ALL SELECT *, '026' FROM ({_TOTALS_SQL}) WHERE o_orderstatus = 'O'")
 def _(t: Tables) -> DataFrame:
-    """A repeated run id replaces its own rows and leaves the other run alone."""
+    """A repeated run id replaces its own rows, an empty run clears its rows, and the other runs stay; ids stay texts."""
     path = fresh_path(t.spark, "replace_run")
-    first = _totals(t).withColumn("request_id", F.lit(25))
-    second = _totals(t).filter("o_orderstatus = 'O'").withColumn("request_id", F.lit(26))
-    for run in (first.filter("amount > 100000"), second, first):
-        stored = sinks.replace_run(run, path, "request_id")
+    first = _totals(t).withColumn("request_id", F.lit("025"))
+    second = _totals(t).filter("o_orderstatus = 'O'").withColumn("request_id", F.lit("026"))
+    third = _totals(t).withColumn("request_id", F.lit("027"))
+    for run_id, run in (("025", first.filter("amount > 100000")), ("026", second), ("025", first), ("027", third), ("027", third.filter("false"))):
+        stored = sinks.replace_run(run, path, "request_id", run_id)
     return stored
 
 
@@ -307,7 +308,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     log = RunLog(t.spark, fresh_path(t.spark, "audit"), TEST_RUN.run_id)
-    log.around("totals", lambda: Staging(t.spark)(_totals(t), "totals"))
+    log.around("totals", lambda: Staging(t.spark, fresh_path(t.spark, "stage"))(_totals(t), "totals"))
     stamped = log.rows().filter(F.col("time").isNotNull())
     return stamped.groupBy("log_identifier", "model", "state").agg(F.count(F.lit(1)).cast("int").alias("n"))
 

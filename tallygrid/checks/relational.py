@@ -17,7 +17,6 @@ from tallygrid.operators.horizons import month_horizon
 from tallygrid.operators.overlaps import cross_overlap, overlap_explode, overlap_join
 from tallygrid.operators.ranking import latest_with_ties, with_dense_ranks
 from tallygrid.plans.accounts import never_billed_accounts
-from tallygrid.session import spread
 from tallygrid.sources.testtables import TEST_RUN, discount_rate, order_calendar, order_day, price, tax_rate
 
 # Money of a line as exact decimals, in both engines.
@@ -166,7 +165,7 @@ FROM bills JOIN horizon h ON bill_sdt <= mth_edt AND bill_edt >= mth_sdt"""
 
 def _overlap(t: Tables, join) -> DataFrame:
     horizon = month_horizon(order_calendar(t.orders), TEST_RUN)
-    rows = join(spread(bills(t)), horizon, TEST_RUN.accrual_range, F.col("bill_sdt"), F.col("bill_edt"))
+    rows = join(bills(t), horizon, TEST_RUN.accrual_range, F.col("bill_sdt"), F.col("bill_edt"))
     days = calendar.overlap_days(*(F.col(c) for c in ("mth_sdt", "mth_edt", "bill_sdt", "bill_edt")))
     return rows.withColumn("total_days", days)
 

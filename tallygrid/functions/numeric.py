@@ -15,6 +15,9 @@ RATE = DecimalType(28, 15)
 DAYS = DecimalType(7, 0)
 AMOUNT = DecimalType(24, 9)
 AVERAGE = DecimalType(20, 5)
+DIVISOR = DecimalType(20, 10)
+# Quotients of averages below this fit thirteen digits after the point.
+RATIO_LIMIT = 1e9
 
 
 def null_rate() -> Column:
@@ -39,7 +42,7 @@ def times(left: Column, right: Column) -> Column:
 
 def ratio(part: Column, whole: Column) -> Column:
     """Quotient of two averages, NULL for a zero divisor."""
-    return F.try_divide(part.cast(AVERAGE), whole.cast(DecimalType(20, 10))).cast(DecimalType(23, 13))
+    return F.try_divide(part.cast(AVERAGE), whole.cast(DIVISOR)).cast(DecimalType(23, 13))
 
 
 def share(part: Column, whole: Column) -> Column:

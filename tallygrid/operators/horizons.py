@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tallygrid.params import MonthRange, RunParams
 
-# A horizon of one row per month stays far below any broadcast limit up to here.
-MAX_BROADCAST_MONTHS = 1200
-
-
 def day_calendar(bounds: DataFrame) -> DataFrame:
     """One row per day between ``first_day`` and ``last_day`` of a one-row frame."""
     days = bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("date"))
@@ -54,8 +50,3 @@ def month_horizon(calendar: DataFrame, params: RunParams) -> DataFrame:
 def trailing_horizon(calendar: DataFrame, params: RunParams) -> DataFrame:
     """Months the seasonal profile is taken from."""
     return months_in(calendar, params.seasonal_range)
-
-
-def small(horizon: DataFrame, months: MonthRange) -> DataFrame:
-    """Broadcast hint for a horizon whose row count is bounded by its range."""
-    return F.broadcast(horizon) if months.months <= MAX_BROADCAST_MONTHS else horizon

@@ -6,26 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.functions.calendar import month_first
-from tallygrid.operators.horizons import small
 from tallygrid.params import MonthRange
 
 
 def overlap_join(periods: DataFrame, horizon: DataFrame, months: MonthRange, start: Column, end: Column) -> DataFrame:
-    """Range-condition form: every period is compared with every month of a small horizon.
-
-    Long horizons go through :func:`overlap_explode`, which gives the same rows.
-    """
-    if small(horizon, months) is horizon:
-        return overlap_explode(periods, horizon, months, start, end)
-    return periods.join(small(horizon, months), (start <= F.col("mth_edt")) & (end >= F.col("mth_sdt")))
+    """Range-condition form: every period is compared with every month. Spark chooses the join by the measured sizes."""
+    return periods.join(horizon, (start <= F.col("mth_edt")) & (end >= F.col("mth_sdt")))
 
 
 def cross_overlap(periods: DataFrame, horizon: DataFrame, months: MonthRange, start: Column, end: Column) -> DataFrame:
     """Product-and-filter spelling; the optimizer turns it into the range-condition join."""
-    if small(horizon, months) is horizon:
-        return overlap_explode(periods, horizon, months, start, end)
-    paired = periods.crossJoin(small(horizon, months))
-    return paired.filter((start <= F.col("mth_edt")) & (end >= F.col("mth_sdt")))
+    return periods.crossJoin(horizon).filter((start <= F.col("mth_edt")) & (end >= F.col("mth_sdt")))
 
 
 def overlap_explode(
@@ -43,4 +34,4 @@ def overlap_explode(
         F.sequence(first, last, F.expr("interval 1 month")),
     )
     spread = periods.select("*", F.explode(touched).alias("_month"))
-    return spread.join(small(horizon, months), F.col("_month") == F.col("mth_sdt")).drop("_month")
+    return spread.join(horizon, F.col("_month") == F.col("mth_sdt")).drop("_month")

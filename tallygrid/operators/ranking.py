@@ -26,6 +26,17 @@ def with_dense_ranks(rows: DataFrame, key: str, ranks: dict[str, str]) -> DataFr
     return rows.join(renamed, same).drop(*[f"_{c}" for c in columns])
 
 
+def latest_by_maxima(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Rows that rank first within ``key`` in any of ``columns``; the same rows as ranks would give, without a window.
+
+    Maxima combine before the shuffle. A missing value is first only where the key has no other.
+    """
+    latest = rows.groupBy(F.col(key).alias("_key")).agg(*[F.max(c).alias(f"_{c}") for c in columns])
+    joined = rows.join(latest, F.col(key).eqNullSafe(F.col("_key")))
+    first: Column = reduce(lambda a, b: a | b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return joined.filter(first).drop("_key", *[f"_{c}" for c in columns])
+
+
 def latest_with_ties(rows: DataFrame, *ranks: str) -> DataFrame:
     """Rows ranked first in any of the orders; ties stay."""
     first: Column = reduce(lambda a, b: a | b, [F.col(rank) == 1 for rank in ranks])

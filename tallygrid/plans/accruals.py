@@ -17,10 +17,11 @@ from tallygrid.functions.measures import (
 from tallygrid.functions.numeric import zero_rate
 from tallygrid.operators.overlaps import overlap_explode
 from tallygrid.operators.profiles import segment_profile
-from tallygrid.operators.ranking import latest_with_ties
-from tallygrid.operators.skew import salted_join, salts_for
+from tallygrid.operators.ranking import latest_by_maxima
+from tallygrid.operators.skew import ROWS_PER_SALT, salted_join
 from tallygrid.params import RunParams
 
+# Columns of the three accrual models, in order.
 _LEAD = (
     "data_source",
     "record_type",
@@ -92,11 +93,11 @@ def actuals(core: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame
 
 
 def existing_accruals(core: DataFrame, profile: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame:
-    """Unbilled days after the latest bill, volumes scaled by season. ``core`` carries the bill ranks."""
+    """Unbilled days after the latest bill, volumes scaled by season. ``core`` is read twice, so it should be written first."""
     latest = (
-        latest_with_ties(core, "bill_sdt_rnk", "bill_edt_rnk")
+        latest_by_maxima(core, "seq_product_item_id", "bill_sdt", "bill_edt")
         .filter(F.col("bill_edt") <= F.lit(params.period_end))
-        .drop("trans_description", "bill_sdt_rnk", "bill_edt_rnk")
+        .drop("trans_description")
         .withColumnRenamed("ex_charge_desc", "trans_description")
     )
     charge = ["solar_zr", "cntrl_load", "trans_description", "measure_name", "measure_code"]
@@ -138,25 +139,23 @@ def existing_accruals(core: DataFrame, profile: DataFrame, horizon: DataFrame, p
     return _labelled(measured, "Accrual (Existing)").distinct()
 
 
-def never_billed_accruals(months: DataFrame, profile: DataFrame) -> DataFrame:
+def never_billed_accruals(
+    months: DataFrame, profile: DataFrame, rows_per_salt: int = ROWS_PER_SALT, partitions: int | None = None
+) -> DataFrame:
     """Segment averages for accounts without any bill; bill dates are the text ``NULL``.
 
     Each account month turns into one row per charge of its segment. The months
-    are few and the result is large, so the join is salted, and the months are
-    spread over all shuffle partitions first; a fixed partition count is not
-    merged again at run time. With distinct months and one profile row per charge
+    are few and the result is large, so the join is salted by the counted size
+    of each segment's share of it. With distinct months and one profile row per charge
     the result has no repeated rows, unless two segments give the same joined key
     text, which takes names that start with digits.
     """
     owners = months.select(
         "record_hash", "seq_product_item_id", "mth_sdt", "mth_edt", "service_sdt", "service_edt"
     ).distinct()
-    partitions = int(months.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread_owners = owners.repartition(partitions, "seq_product_item_id", "mth_sdt")
     charges = profile.filter(~F.col("trans_description").like("%Import%"))
-    charged = salted_join(
-        spread_owners, charges, ["record_hash"], ["seq_product_item_id", "mth_sdt"], salts_for(partitions)
-    )
+    spread_by = ["seq_product_item_id", "mth_sdt"]
+    charged = salted_join(owners, charges, ["record_hash"], spread_by, rows_per_salt, partitions)
     days = overlap_days(*(F.col(c) for c in ("mth_sdt", "mth_edt", "service_sdt", "service_edt")))
 
     def rate(column: str, zero_rated: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tallygrid.functions import charges, discounts
 from tallygrid.functions.calendar import inclusive_days, representative_month
@@ -13,7 +14,7 @@ from tallygrid.functions.text import charge_description, clean_description
 from tallygrid.operators.ranking import with_dense_ranks
 from tallygrid.operators.scd import scd2_current
 from tallygrid.params import RunParams
-from tallygrid.sources.tables import BillingSources
+from tallygrid.sources.tables import BillingSources, columns_of
 
 ACCOUNT = ("fuel_type", "market_region", "market_sub_region", "customer_segment")
 SERVICE = ("service_sdt", "service_edt")
@@ -70,9 +71,9 @@ def posted_lines(src: BillingSources, accounts: DataFrame, params: RunParams) ->
         *SERVICE,
     )
     return (
-        scd2_current(src.invoicelineitem)
+        scd2_current(src.invoicelineitem, *columns_of("invoicelineitem"))
         .filter(F.col("billable") == 1)
-        .drop("adh_active_flag", "billable")
+        .drop("billable")
         .withColumnRenamed("account_id", "seq_product_item_id")
         .join(owners, "seq_product_item_id")
         .join(invoices, "invoice_id")
@@ -200,12 +201,22 @@ def discount_groups(src: BillingSources, posted: DataFrame) -> DataFrame:
 
     All three kinds group by the same keys, so one aggregation computes their
     sums side by side and each group then yields a row per kind it has lines of.
+    A line counts once for each fitting lookup row of its kind: the lookups are
+    reduced to one row per id with that number, so none can touch another kind.
     """
-    types = scd2_current(
-        src.adjustmenttype, F.col("id").alias("adjustment_type_id"), F.col("name").alias("adjustment_type"),
-        "adjustment_group_id",
-    ).join(scd2_current(src.adjustmentgroup, F.col("id").alias("adjustment_group_id")), "adjustment_group_id")
-    on_time = scd2_current(src.adjustment, F.col("id").alias("ppd_adjustment_id"), "invoice_desc")
+    types = (
+        scd2_current(src.adjustmenttype, F.col("id").alias("adjustment_type_id"), "name", "adjustment_group_id")
+        .filter(F.col("name").isin(*discounts.GUARANTEED_TYPES))
+        .join(scd2_current(src.adjustmentgroup, F.col("id").alias("adjustment_group_id")), "adjustment_group_id")
+        .groupBy("adjustment_type_id")
+        .agg(F.count(F.lit(1)).alias("guaranteed_times"))
+    )
+    on_time = (
+        scd2_current(src.adjustment, F.col("id").alias("ppd_adjustment_id"), "invoice_desc")
+        .filter(F.col("invoice_desc").like(discounts.PAY_ON_TIME_PATTERN))
+        .groupBy("ppd_adjustment_id")
+        .agg(F.count(F.lit(1)).alias("paid_times"))
+    )
     lines = (
         posted.filter(F.col("invoice_type") != "REVERSAL")
         .join(types, "adjustment_type_id", "left")
@@ -213,15 +224,18 @@ def discount_groups(src: BillingSources, posted: DataFrame) -> DataFrame:
         .join(_time_class(src), "time_class_id", "left")
         .select(
             "*",
-            F.coalesce(F.col("adjustment_type").isin(*discounts.GUARANTEED_TYPES), F.lit(False)).alias("guaranteed"),
+            F.col("guaranteed_times").isNotNull().alias("guaranteed"),
             F.coalesce(F.col("plan_item_type_id") == charges.RETAIL_USAGE_PLAN, F.lit(False)).alias("eligible"),
-            F.coalesce(F.col("invoice_desc").like(discounts.PAY_ON_TIME_PATTERN), F.lit(False)).alias("pays_on_time"),
         )
         .filter("guaranteed OR eligible")
-        .withColumn("paid", F.col("eligible") & F.col("pays_on_time"))
+        .withColumn("paid", F.col("eligible") & F.col("paid_times").isNotNull())
     )
 
-    def total(flag: str, value: Column) -> Column:
+    def total(flag: str, value: Column, times: str | None = None) -> Column:
+        """Sum over the lines of a kind; the product keeps the scale of ``value``."""
+        if times:
+            kept = lines.select(value).schema[0].dataType
+            value = (value.cast(DecimalType(28, kept.scale)) * F.col(times).cast(DecimalType(9, 0))).cast(kept)
         return F.sum(F.when(F.col(flag), value))
 
     net, discount = F.col("net_amount"), F.col("discount_net")
@@ -241,12 +255,12 @@ def discount_groups(src: BillingSources, posted: DataFrame) -> DataFrame:
         F.max("guaranteed").alias("has_guaranteed"),
         F.max("eligible").alias("has_eligible"),
         F.max("paid").alias("has_paid"),
-        total("guaranteed", discounts.strip_tax(net, F.col("tax_amount"))).alias("guaranteed_total"),
-        total("guaranteed", net).alias("guaranteed_net"),
+        total("guaranteed", discounts.strip_tax(net, F.col("tax_amount")), "guaranteed_times").alias("guaranteed_total"),
+        total("guaranteed", net, "guaranteed_times").alias("guaranteed_net"),
         total("eligible", discount).alias("eligible_total"),
         total("eligible", net).alias("eligible_net"),
-        total("paid", discount).alias("paid_total"),
-        total("paid", net).alias("paid_net"),
+        total("paid", discount, "paid_times").alias("paid_total"),
+        total("paid", net, "paid_times").alias("paid_net"),
     )
     kinds = F.array(
         F.when(

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from tallygrid.operators.horizons import month_horizon, trailing_horizon
 from tallygrid.params import RunParams
 from tallygrid.plans import accounts, accruals, billing, results
-from tallygrid.session import inline
+from tallygrid.session import Staging
+from tallygrid.sinks.runlog import RunLog
+from tallygrid.sinks.tables import replace_run
 from tallygrid.sources.tables import BillingSources
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -29,13 +31,13 @@ class AccrualRun:
     detail: DataFrame
 
 
-def accrual_run(src: BillingSources, params: RunParams, stage: Stage = inline) -> AccrualRun:
+def accrual_run(src: BillingSources, params: RunParams, stage: Stage) -> AccrualRun:
     """Build every model of a run.
 
     ``stage`` is called for the frames with several readers: active accounts,
-    posted lines, daily measures and the seasonal profile. Pass a
-    :class:`tallygrid.session.Staging` to write them once; the default keeps one
-    lazy plan.
+    posted lines, daily measures and the seasonal profile. A
+    :class:`tallygrid.session.Staging` writes them once. Without that the plan
+    repeats them for each reader, which only small tests should do.
     """
     active = stage(accounts.active_accounts(src, params), "active_accounts")
     posted = stage(billing.posted_lines(src, active, params), "posted_lines")
@@ -46,7 +48,7 @@ def accrual_run(src: BillingSources, params: RunParams, stage: Stage = inline) -
     )
     unbilled = accounts.never_billed_accounts(active, billing.bill_lines(src, posted))
     actual = accruals.actuals(core, horizon, params)
-    existing = accruals.existing_accruals(billing.ranked_bills(core), profile, horizon, params)
+    existing = accruals.existing_accruals(core, profile, horizon, params)
     imputed = accruals.never_billed_accruals(
         accounts.never_billed_months(unbilled, horizon, params), profile
     )
@@ -54,3 +56,23 @@ def accrual_run(src: BillingSources, params: RunParams, stage: Stage = inline) -
     return AccrualRun(active, posted, core, profile, unbilled, actual, existing, imputed, detail)
 
 
+@dataclass(frozen=True)
+class StoredRun:
+    detail: DataFrame
+    summary: DataFrame
+
+
+def stored_run(src: BillingSources, params: RunParams, stage: Staging, log: RunLog, detail_path: str, summary_path: str) -> StoredRun:
+    """A run with its tables: log rows around each result, both stored per request id, the summary read from the stored detail.
+
+    The staged frames go when the results are stored.
+    """
+    column = "unbilled_accrual_run_audit_id"
+    with stage:
+        detail = log.around(
+            "detail", lambda: replace_run(accrual_run(src, params, stage).detail, detail_path, column, params.request_id)
+        )
+        summary = log.around(
+            "summary", lambda: replace_run(results.accrual_summary(detail.drop("run_id"), params), summary_path, column, params.request_id)
+        )
+    return StoredRun(detail, summary)

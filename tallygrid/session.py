@@ -50,32 +50,35 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{uuid.uuid4().hex}/{name}"
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Give every core a share of a scan with fewer splits than cores.
-
-    A table of that few splits is small, so the extra shuffle is too. A table
-    that already has enough splits is returned unchanged.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
-
-
 class Staging:
-    """Writes intermediates as Parquet below the shared folder and reads them back.
+    """Writes intermediates as Parquet below ``root`` and reads them back.
 
     Unlike a cached frame the written table survives lost executors, and later
-    readers still get column pruning and pushed filters.
+    readers still get column pruning and pushed filters. As a context manager
+    it removes its folder at the end, so results must be stored before that.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None) -> None:
+    def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
-        self.root = root or fresh_path(spark, "stage")
+        self.root = root
 
     def __call__(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         frame.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        remove_folder(self.spark, self.root)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` in whatever file system it names; nothing happens where it is missing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
 
 def inline(frame: DataFrame, name: str) -> DataFrame:
     """Staging replacement that keeps the plan lazy."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Columns and types the plans read, one table per line group.
@@ -43,6 +44,16 @@ def schema_of(table: str) -> StructType:
     return StructType.fromDDL(f"{_DDL[table]}, adh_active_flag int")
 
 
+def columns_of(table: str) -> list[str]:
+    """Declared columns without the flag of the current version."""
+    return [name for name in schema_of(table).names if name != "adh_active_flag"]
+
+
+def declared(frame: DataFrame, table: str) -> DataFrame:
+    """The declared columns of ``frame`` in their declared types; any others are left out."""
+    return frame.select(*(F.col(field.name).cast(field.dataType) for field in schema_of(table)))
+
+
 @dataclass(frozen=True)
 class BillingSources:
     """One frame per source; field names are the table names."""
@@ -72,9 +83,9 @@ class BillingSources:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, schema: str, calendar_table: str) -> BillingSources:
-        """Catalog tables ``schema.<name>`` plus the calendar by its own name."""
-        frames = {name: spark.table(f"{schema}.{name}") for name in cls.names() if name != "dim_date"}
-        return cls(dim_date=spark.table(calendar_table), **frames)
+        """Catalog tables ``schema.<name>`` plus the calendar by its own name, each with its declared columns."""
+        places = {name: f"{schema}.{name}" for name in cls.names()} | {"dim_date": calendar_table}
+        return cls(**{name: declared(spark.table(place), name) for name, place in places.items()})
 
     @classmethod
     def from_files(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> BillingSources:

@@ -82,6 +82,17 @@ def test_seasonal_scale(spark):
     assert tuple(one(spark, scaled, kept)) == (Decimal("7.5"), Decimal("3"))
 
 
+def test_seasonal_scale_beyond_the_digits_of_the_factor(spark):
+    wide = measures.seasonal_scale(
+        F.lit("150000").cast("decimal(20,5)"), F.lit("0.00001").cast("decimal(20,5)"), F.lit("0.5").cast(numeric.RATE)
+    )
+    tiny = F.lit("0.00000000004").cast(numeric.RATE)
+    own = measures.seasonal_scale(F.lit(5).cast("decimal(20,5)"), tiny, tiny)
+    none = measures.seasonal_scale(F.lit(5).cast("decimal(20,5)"), F.lit(0).cast(numeric.RATE), tiny)
+    got = one(spark, wide, own, none)
+    assert (float(got[0]), float(got[1]), got[2]) == (pytest.approx(7.5e9), pytest.approx(5.0), None)
+
+
 def line(**values):
     base = dict(
         fuel="ELECTRICITY", region="AMERICA", plan="RETAIL_USAGE", plan_id=2, time_class=None, display_group=None,

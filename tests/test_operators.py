@@ -13,7 +13,7 @@ from tallygrid.operators.horizons import calendar_between, month_horizon, traili
 from tallygrid.operators.overlaps import cross_overlap, overlap_explode, overlap_join
 from tallygrid.operators.ranking import latest_with_ties, with_dense_ranks
 from tallygrid.operators.scd import scd2_current
-from tallygrid.operators.skew import salted_join, salts_for
+from tallygrid.operators.skew import salted_join
 from tallygrid.params import MonthRange, RunParams
 
 D = dt.date
@@ -51,10 +51,10 @@ def test_overlap_forms_agree(days, periods):
     assert sum(expected.values()) > 100
 
 
-def test_long_horizons_are_not_broadcast(days, periods):
-    wide = MonthRange(D(1800, 1, 1), D(2026, 12, 1))
-    frame = overlap_join(periods, month_horizon(days, RUN), wide, F.col("first_day"), F.col("final_day"))
-    assert "strategy=broadcast" not in plan(frame)
+def test_no_form_carries_a_hint(days, periods):
+    for form in (overlap_join, overlap_explode, cross_overlap):
+        frame = form(periods, month_horizon(days, RUN), RUN.accrual_range, F.col("first_day"), F.col("final_day"))
+        assert "strategy=broadcast" not in plan(frame)
 
 
 def test_overlap_days_add_up_to_the_period(days, periods):
@@ -129,11 +129,24 @@ def test_salted_join_keeps_all_pairs_and_spreads_them(spark):
     many = spark.range(2000).select((F.col("id") % 3).alias("k"), "id")
     few = spark.range(12).select((F.col("id") % 4).alias("k"), F.col("id").alias("charge"))
     expected = bag(many.join(few, "k"))
-    for salts in (1, 16):
-        assert bag(salted_join(many, few, ["k"], ["id"], salts)) == expected
-    assert [salts_for(n) for n in (1, 8, 200, 100_000)] == [1, 1, 6, 32]
-    salts = many.select("k", F.pmod(F.hash("id"), F.lit(16)).alias("s")).distinct()
-    assert salts.count() == 3 * 16
+    for rows_per_salt in (1_000_000, 50):
+        assert bag(salted_join(many, few, ["k"], ["id"], rows_per_salt)) == expected
+        assert bag(salted_join(many, few, ["k"], ["id"], rows_per_salt, partitions=5)) == expected
+
+
+def test_a_hot_key_uses_many_tasks(spark):
+    many = spark.range(3000).select(F.when(F.col("id") < 1500, -1).otherwise(F.col("id")).alias("k"), "id")
+    few = many.select("k").distinct().join(spark.range(4).withColumnRenamed("id", "charge"))
+    kept = {k: spark.conf.get(k, None) for k in _SKEW}
+    try:
+        for key in list(_SKEW)[:2]:
+            spark.conf.set(key, "-1")
+        joined = salted_join(many, few, ["k"], ["id"], rows_per_salt=200, partitions=16)
+        homes = joined.filter("k = -1").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert joined.count() == 12_000 and homes >= 8
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_current_rows_and_pushed_flag(spark, tmp_path):

@@ -1,17 +1,22 @@
 """Models: equivalent forms, inputs by table or file, the example graphs."""
 
+import dataclasses
 import datetime as dt
+import os
 
 import pytest
 from helpers import bag, plan
 from pyspark.sql import functions as F
 
+from tallygrid.functions import discounts
 from tallygrid.operators.horizons import month_horizon, trailing_horizon
 from tallygrid.operators import quality
 from tallygrid.operators.profiles import segment_profile
+from tallygrid.operators.ranking import latest_by_maxima, latest_with_ties
 from tallygrid.plans import accounts, accruals, billing, examples, results
-from tallygrid.plans.run import accrual_run
-from tallygrid.session import Staging
+from tallygrid.plans.run import accrual_run, stored_run
+from tallygrid.session import Staging, fresh_path, inline
+from tallygrid.sinks.runlog import RunLog
 from tallygrid.sources.tables import BillingSources, schema_of
 from tallygrid.sources.testtables import TEST_RUN, billing_sources
 
@@ -23,7 +28,7 @@ def src(spark, small):
 
 @pytest.fixture(scope="module")
 def run(spark, src):
-    return accrual_run(src, TEST_RUN, Staging(spark))
+    return accrual_run(src, TEST_RUN, Staging(spark, fresh_path(spark, "stage")))
 
 
 def test_adapter_has_the_declared_schemas(src):
@@ -58,8 +63,54 @@ def test_segment_keys_join_like_the_hash(src, run):
     assert bag(by_hash, columns) == bag(by_keys, columns)
 
 
+def test_a_repeated_lookup_row_counts_for_its_own_kind_only(src, run):
+    def sums(changed):
+        rows = billing.discount_groups(changed, run.posted).groupBy("measure_name").agg(F.sum("discount_amount").alias("n"))
+        return {r.measure_name: r.n for r in rows.collect()}
+
+    def twice(table):
+        frame = getattr(src, table)
+        return dataclasses.replace(src, **{table: frame.unionByName(frame.filter("adh_active_flag = 1"))})
+
+    plain, types, on_time = sums(src), sums(twice("adjustmenttype")), sums(twice("adjustment"))
+    guaranteed, eligible, paid = (kind[0] for kind in (discounts.GUARANTEED, discounts.ELIGIBLE, discounts.PAID))
+    assert set(plain) == {guaranteed, eligible, paid}
+    assert (types[eligible], types[paid], types[guaranteed]) == (plain[eligible], plain[paid], 2 * plain[guaranteed])
+    assert (on_time[eligible], on_time[guaranteed]) == (plain[eligible], plain[guaranteed])
+    assert abs(on_time[paid]) > abs(plain[paid])
+
+
+def test_only_declared_line_columns_are_read(src, run):
+    wide = src.invoicelineitem.withColumns({"due_date": F.lit("x"), "noise": F.lit(1)})
+    posted = billing.posted_lines(dataclasses.replace(src, invoicelineitem=wide), run.accounts, TEST_RUN)
+    assert posted.columns == run.posted.columns and bag(posted) == bag(run.posted)
+
+
+def test_latest_bills_by_maxima_equal_those_by_rank(run):
+    ranked = latest_with_ties(billing.ranked_bills(run.core), "bill_sdt_rnk", "bill_edt_rnk")
+    latest = latest_by_maxima(run.core, "seq_product_item_id", "bill_sdt", "bill_edt")
+    assert bag(latest) == bag(ranked.drop("bill_sdt_rnk", "bill_edt_rnk"))
+    assert "Window" not in plan(latest)
+
+
+def test_stored_run(spark, src, run, tmp_path):
+    stage = Staging(spark, fresh_path(spark, "stage"))
+    log = RunLog(spark, f"{tmp_path}/log", TEST_RUN.run_id)
+    stored = stored_run(src, TEST_RUN, stage, log, f"{tmp_path}/detail", f"{tmp_path}/summary")
+    columns = sorted(run.detail.columns)
+    assert bag(stored.detail.select(*columns)) == bag(run.detail.select(*columns))
+    assert stored.summary.count() == results.accrual_summary(run.detail, TEST_RUN).count()
+    assert {(r.model, r.state) for r in log.rows().collect()} == {(m, s) for m in ("detail", "summary") for s in ("start", "end")}
+    assert not os.path.exists(stage.root.removeprefix("file:"))
+
+
+def test_summary_rows_without_a_measure_name_stay(spark, run):
+    totals = results.accrual_summary(run.detail, TEST_RUN).drop("run_id").limit(1).withColumn("measure_name", F.lit(None).cast("string"))
+    assert results.with_service_counts(totals, TEST_RUN).filter("measure_name IS NULL").count() == 1
+
+
 def test_lazy_run_equals_staged_run(src, run):
-    assert bag(accrual_run(src, TEST_RUN).detail) == bag(run.detail)
+    assert bag(accrual_run(src, TEST_RUN, inline).detail) == bag(run.detail)
 
 
 def test_never_billed_accounts_have_no_registry_line(run, src):
@@ -87,7 +138,7 @@ def test_actual_days_never_exceed_the_month(run):
 
 
 def test_plans_avoid_products_and_python(src):
-    for frame in (accrual_run(src, TEST_RUN).detail,):
+    for frame in (accrual_run(src, TEST_RUN, inline).detail,):
         text = plan(frame)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
         assert "PythonUDF" not in text and "MapInPandas" not in text

@@ -16,13 +16,8 @@ def test_query_matches_sql(name, spark, small, con):
     assert differences(catalog.QUERIES[name](spark, small), con, catalog.SQL[name]) == {}
 
 
-def test_limit_keeps_500_rows(spark, small):
-    rows = catalog.QUERIES["python_model_limit"](spark, small)
-    assert rows.count() == 500
-
-
-def test_only_the_limit_has_no_sql():
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"python_model_limit"}
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.SQL)
 
 
 def test_entry_has_the_detail_columns(spark):
