@@ -61,7 +61,8 @@ class Shard:
         """For each place of the array the common prefix with the suffix before it, at most ``depth``, within both strings.
 
         Kasai's pass: going to the next suffix in the text, the common prefix
-        shrinks by one at most. All strings are walked in step.
+        shrinks by one at most. All strings are walked in step, up to their last
+        suffix of ``depth`` symbols; shorter ones keep 0.
         """
         n = len(self.array)
         place = np.empty(n, dtype=np.int64)
@@ -70,10 +71,10 @@ class Shard:
         text = self.text.astype(np.int32)
         text[np.append(self.ends, np.arange(n, len(text)))] = -1 - np.arange(len(self.ends) + len(text) - n)  # no two ends agree
         order = np.argsort(-(self.ends - self.starts), kind="stable")
-        starts, sizes = self.starts[order], (self.ends - self.starts)[order]
+        starts, sizes = self.starts[order], (self.ends - self.starts)[order] - self.depth + 1
         length = np.zeros(len(starts), dtype=np.int64)
         for step in range(int(sizes[0]) if len(sizes) else 0):
-            live = int(np.searchsorted(-sizes, -step, "left"))  # strings longer than step
+            live = int(np.searchsorted(-sizes, -step, "left"))  # strings with a suffix at step
             at = starts[:live] + step
             where = place[at]
             before = self.array[where - 1]
