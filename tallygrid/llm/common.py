@@ -60,6 +60,25 @@ def fresh(frame: DataFrame, name: str) -> str:
     return name
 
 
+def commonest(counts: DataFrame, most: int) -> list[tuple[int, int]]:
+    """The commonest keys of (key, n), at most ``most``, by falling n.
+
+    Counts are binned by size first (at most 512 bins), and the largest bins
+    that fit are taken whole. So neither the driver nor any task holds more than
+    ``most`` keys; a limit over a sort would send that many from each task.
+    """
+    level = F.floor(F.log2(F.col("n")) * 8)
+    held, least = 0, None
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if held + row["count"] > most:
+            break
+        held, least = held + row["count"], row["level"]
+    if least is None:
+        return []
+    rows = [(r["key"], r["n"]) for r in counts.where(level >= least).select("key", "n").collect()]
+    return sorted(rows, key=lambda r: (-r[1], r[0]))
+
+
 #: Rows and bits of the filter below: 65,536 rows of 64 bits, about 1 MB, whatever the input.
 FILTER_ROWS, FILTER_BITS = 1 << 16, 64
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.llm.attention import END_PIECE, FIRST, IDS, Attention, Vocabulary, pieces
-from tallygrid.llm.common import remainder, written
+from tallygrid.llm.common import commonest, remainder, written
 from tallygrid.llm.textnum import SpanHasher, lowered, raw, word_spans
 
 #: Fixed by the task.
@@ -70,9 +70,9 @@ def corpus_counts(training: DataFrame) -> DataFrame:
 
 
 def _top(counts: DataFrame, kind: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``most`` commonest keys of a kind and their counts: a bounded table."""
-    rows = counts.where(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(most).select("key", "n").toPandas()
-    return rows["key"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=np.int64)
+    """The commonest keys of a kind and their counts, at most ``most``."""
+    rows = commonest(counts.where(F.col("kind") == kind), most)
+    return np.array([k for k, _ in rows], dtype=np.int64), np.array([n for _, n in rows], dtype=np.int64)
 
 
 def fit(training: DataFrame, counts: DataFrame, totals: dict[int, tuple[int, int]]) -> tuple[Vocabulary, Attention]:
