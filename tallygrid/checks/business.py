@@ -19,9 +19,8 @@ from tallygrid.operators.horizons import trailing_horizon
 from tallygrid.operators.overlaps import overlap_explode
 from tallygrid.operators.profiles import segment_profile
 from tallygrid.plans.results import run_stamp, with_service_counts
-from tallygrid.session import Staging, fresh_path
+from tallygrid.session import fresh_path
 from tallygrid.sinks import tables as sinks
-from tallygrid.sinks.runlog import RunLog
 from tallygrid.sources.testtables import TEST_RUN, order_calendar
 
 # Bills relabelled as charges, one code per status and priority.
@@ -301,18 +300,6 @@ def _(t: Tables) -> DataFrame:
     return sinks.row_count(t.spark.table(name)).filter(F.col("row_count") == counted)
 
 
-@book.add(
-    "audit_log",
-    """SELECT 'test-run' AS log_identifier, model, state, n FROM (VALUES ('totals', 'start', 1), ('totals', 'end', 1)) v(model, state, n)
-       WHERE EXISTS (SELECT 1 FROM orders)""",
-)
-def _(t: Tables) -> DataFrame:
-    log = RunLog(t.spark, fresh_path(t.spark, "audit"), TEST_RUN.run_id)
-    log.around("totals", lambda: Staging(t.spark, fresh_path(t.spark, "stage"))(_totals(t), "totals"))
-    stamped = log.rows().filter(F.col("time").isNotNull())
-    return stamped.groupBy("log_identifier", "model", "state").agg(F.count(F.lit(1)).cast("int").alias("n"))
-
-
 @book.add("run_stamp", f"SELECT 'test-run' AS run_id, * FROM ({_TOTALS_SQL})")
 def _(t: Tables) -> DataFrame:
     return run_stamp(_totals(t), TEST_RUN.run_id)

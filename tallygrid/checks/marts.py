@@ -11,8 +11,9 @@ from tallygrid.checks.mart_sql import number, with_ctes
 from tallygrid.checks.shape import shown
 from tallygrid.operators.horizons import month_horizon, trailing_horizon
 from tallygrid.plans import accounts, accruals, billing, results
-from tallygrid.plans.run import AccrualRun, accrual_run
+from tallygrid.plans.run import AccrualRun, accrual_run, stored_run
 from tallygrid.session import Staging, fresh_path, prepare
+from tallygrid.sinks.runlog import RunLog
 from tallygrid.sinks.tables import row_count
 from tallygrid.sources.tables import BillingSources
 from tallygrid.sources.testtables import TEST_RUN, billing_sources
@@ -77,6 +78,17 @@ def _never_billed_months(src: BillingSources) -> DataFrame:
     return accounts.never_billed_months(_never_billed(src), month_horizon(src.dim_date, TEST_RUN), TEST_RUN)
 
 
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a stored run, with the rows of each result it logged."""
+    log = RunLog(spark, fresh_path(spark, "audit"), TEST_RUN.run_id)
+    paths = [fresh_path(spark, name) for name in ("detail", "summary")]
+    stored = stored_run(sources(spark, sf_dir), TEST_RUN, staging(spark), log, *paths)
+    rows = row_count(stored.detail).select(F.lit("detail").alias("model"), F.col("row_count").alias("n_rows"))
+    rows = rows.union(row_count(stored.summary).select(F.lit("summary"), "row_count"))
+    stamped = log.rows().filter(F.col("time").isNotNull())
+    return stamped.join(rows, "model").select("log_identifier", "model", "state", "n_rows")
+
+
 def _extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rows the extract keeps is free; how many, and that all are rows of the summary, is not."""
     stage = staging(spark)
@@ -105,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "mart_detail": _result(lambda run: run.detail),
     "mart_summary": _result(lambda run: results.accrual_summary(run.detail, TEST_RUN)),
     "python_model_limit": _extract,
+    "audit_log": _audit,
 }
 
 _DAYS = ("bill_sdt", "bill_edt", "mth_sdt", "mth_edt", "service_sdt", "service_edt")
@@ -150,5 +163,10 @@ SQL: dict[str, str] = {
     "mart_accrual_never_billed": _show("imputed", _DAYS[2:], _MONTHLY),
     "mart_detail": _show("detail", ("month_start_date",), {"measure_value": 20}),
     "mart_summary": _show("summary", ("month_start_date",), {"measure_value": 20}),
+    "audit_log": with_ctes(
+        f"""SELECT '{TEST_RUN.run_id}' AS log_identifier, model, state, n_rows
+        FROM (SELECT 'detail' AS model, count(*) AS n_rows FROM detail UNION ALL SELECT 'summary', count(*) FROM summary),
+             (VALUES ('start'), ('end')) AS states(state)"""
+    ),
     "python_model_limit": with_ctes("SELECT least(500, count(*)) AS kept_rows, 0 AS not_in_summary FROM summary"),
 }
