@@ -148,6 +148,10 @@ def test_join_of_awkward_rows(docs_of, awkward):
     got = ngramjoin.similarity_components(docs_of(awkward), 4, 85).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in awkward)
     assert all(r.component_id == r.doc_id for r in got)
+    kept = ngramjoin.keep_one(docs_of(awkward), 4, 85)
+    want = {(r[0], r[1]) for r in awkward if r[0] is not None}
+    assert Counter((r.doc_id, r.text) for r in kept.where("doc_id is not null").collect()) == Counter(want)
+    assert kept.where("doc_id is null").count() == 2 and kept.columns == docs_of(awkward).columns
 
 
 def test_prefix_tree_against_scan():
