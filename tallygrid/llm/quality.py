@@ -167,6 +167,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they are. The texts are read twice and never shuffled."""
+    """The rows of ``docs`` that are kept, all columns as they are.
+
+    The rows are written with their counts, once: the votes use each count
+    several times, and a plan without that cut would work it out each time.
+    """
     packed = docs.select(F.struct(*docs.columns).alias("_doc"), "text")
-    return judged(features(packed, ["_doc"])).where("kept").select("_doc.*")
+    return judged(written(features(packed, ["_doc"]))).where("kept").select("_doc.*")
