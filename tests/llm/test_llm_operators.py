@@ -144,6 +144,17 @@ def test_join_of_large_groups_in_small_blocks(docs_of, monkeypatch, paired):
     assert got == brute.components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("order", ["reversed", "shuffled"])
+def test_join_of_rows_in_any_order(docs_of, order):
+    rows = near_copies(140)
+    want = brute.components(rows, 5, 80)
+    rows = rows[::-1] if order == "reversed" else random.Random(8).sample(rows, len(rows))
+    docs = docs_of(rows).coalesce(1)
+    got = {r.doc_id: r.component_id for r in ngramjoin.similarity_components(docs, 5, 80).collect()}
+    assert got == want
+    assert {r.doc_id for r in ngramjoin.keep_one(docs, 5, 80).collect()} == set(want.values())
+
+
 def test_join_of_awkward_rows(docs_of, awkward):
     got = ngramjoin.similarity_components(docs_of(awkward), 4, 85).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in awkward)
