@@ -46,8 +46,9 @@ def pieces(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Vocabulary:
     """Subwords with an id of their own, by falling count, and the chances of the others.
 
-    A rare subword's chance within RARE is its share of the counted rare ones;
-    what no count is kept for shares one part more, evenly over all subwords.
+    A rare subword's chance within RARE is its share of the rare ones; what
+    never occurs shares one part more, evenly over all subwords. Of the rare
+    ones only the commonest are held here; the caller looks up the others.
     """
 
     keys: np.ndarray  # sorted
@@ -56,6 +57,7 @@ class Vocabulary:
     rare_logs: np.ndarray
     unseen_log: float
     counts: np.ndarray  # by id
+    rare_total: float = 1.0  # of all rare subwords, held or not, and the part more
 
     @staticmethod
     def of(keys: np.ndarray, counts: np.ndarray, ends: int, rest: int) -> Vocabulary:
@@ -68,10 +70,10 @@ class Vocabulary:
         counted = np.zeros(IDS)
         counted[FIRST : FIRST + len(own)] = [by_key[k] for k in own.tolist()]
         counted[END], counted[RARE] = ends, n.sum() + rest
-        return Vocabulary(own, np.arange(FIRST, FIRST + len(own)), rare[order], np.log(n[order] / total), float(np.log((rest + 1) / total / SPACE_OF_PIECES)), counted)
+        return Vocabulary(own, np.arange(FIRST, FIRST + len(own)), rare[order], np.log(n[order] / total), float(np.log(1 / total / SPACE_OF_PIECES)), counted, total)
 
-    def encode(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids, and the log chance of each subword within its id."""
+    def encode(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, the log chance of each subword within its id, and the places of rare ones that aren't held, which get that of an unseen one."""
         ids = np.full(len(found), RARE, dtype=np.int64)
         logs = np.zeros(len(found))
         ids[found == END_PIECE] = END
@@ -85,7 +87,8 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(self.rare_keys, found[rare]), len(self.rare_keys) - 1)
             hit = self.rare_keys[at] == found[rare]
             logs[rare[hit]] = self.rare_logs[at[hit]]
-        return ids, logs
+            rare = rare[~hit]
+        return ids, logs, rare
 
 
 def windows(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from tallygrid.llm.textnum import SpanHasher, lowered, raw, word_spans
 
 #: Fixed by the task.
 HELD_OUT, FOLDS = 2, 7
-#: Words whose counts are sent to all tasks, and rare subwords with counts of their own.
+#: Words and rare subwords whose counts are sent to all tasks; the others are joined.
 HEAD, RARE_KEPT = 1 << 17, 1 << 16
 #: Texts that the attention model is fitted on, none longer than FIT_BYTES, and its training steps.
 FIT_TEXTS, FIT_BYTES, STEPS = 3000, 1 << 16, 1500
@@ -124,11 +124,13 @@ def scores(docs: DataFrame) -> DataFrame:
                 logs = np.concatenate([[0.0], np.cumsum(np.where(hit, head_logs[place], 0.0) if len(head) else np.zeros(len(words)))])
                 known = np.concatenate([[0], np.cumsum(hit)])
                 found, begins = pieces(texts[a:b])
-                ids, within = vocabulary.encode(found)
+                ids, within, uncovered = vocabulary.encode(found)
                 chance = np.concatenate([[0.0], np.cumsum(model.score(ids, begins) + within)])
                 rest = np.flatnonzero(~hit)
                 rest_cuts = np.searchsorted(rest, cuts)
                 tails = [np.unique(words[rest[x:y]], return_counts=True) for x, y in zip(rest_cuts, rest_cuts[1:], strict=False)]
+                rare_cuts = np.searchsorted(uncovered, begins)
+                rares = [np.unique(found[uncovered[x:y]], return_counts=True) for x, y in zip(rare_cuts, rare_cuts[1:], strict=False)]
                 yield pd.DataFrame(
                     {
                         "row": (part << 40) + at + np.arange(b - a),
@@ -140,15 +142,30 @@ def scores(docs: DataFrame) -> DataFrame:
                         "score": np.diff(chance[begins]) / np.log(10),
                         "keys": [k for k, _ in tails],
                         "counts": [n for _, n in tails],
+                        "rare_keys": [k for k, _ in rares],
+                        "rare_counts": [n for _, n in rares],
                     }
                 )
                 at += b - a
 
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, keys array<long>, counts array<int>"
+    schema = (
+        "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double,"
+        " keys array<long>, counts array<int>, rare_keys array<long>, rare_counts array<int>"
+    )
     scored = written(rows.mapInPandas(run, schema))
-    tail = scored.select("row", F.explode(F.arrays_zip("keys", "counts")).alias("t")).select("row", F.col("t.keys").alias("key"), F.col("t.counts").alias("times"))
-    found = tail.join(counts.where(F.col("kind") == WORDS).select("key", "n"), "key")
-    added = found.groupBy("row").agg(F.sum("times").alias("_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs"))
+
+    def tail(kind: int, keys: str, times: str) -> DataFrame:
+        each = scored.select("row", F.explode(F.arrays_zip(keys, times)).alias("t"))
+        return each.select("row", F.lit(kind).alias("kind"), F.col(f"t.{keys}").alias("key"), F.col(f"t.{times}").alias("times"))
+
+    found = tail(WORDS, "keys", "counts").union(tail(PIECES, "rare_keys", "rare_counts")).join(counts, ["kind", "key"])
+    is_word = F.col("kind") == WORDS
+    gained = F.log(F.col("n") / F.lit(float(vocabulary.rare_total))) - F.lit(vocabulary.unseen_log)  # it was scored as unseen
+    added = found.groupBy("row").agg(
+        F.sum(F.when(is_word, F.col("times"))).alias("_known"),
+        F.sum(F.when(is_word, F.col("times") * F.log10(F.col("n") + 1.0))).alias("_logs"),
+        F.sum(F.when(~is_word, F.col("times") * gained)).alias("_gained"),
+    )
     whole = scored.join(added, "row", "left")
     base = F.col("logs") + F.coalesce("_logs", F.lit(0.0)) + F.lit(end_log) - F.col("n_tokens") * F.lit(float(np.log10(all_tokens + distinct + 1.0)))
     return whole.select(
@@ -158,5 +175,5 @@ def scores(docs: DataFrame) -> DataFrame:
         (F.col("known") + F.coalesce("_known", F.lit(0)) + F.lit(int(texts > 0))).cast("long").alias("n_known"),
         F.lit(int(all_tokens)).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("_gained", F.lit(0.0)) / F.lit(float(np.log(10)))).alias("score"),
     )

@@ -444,3 +444,16 @@ def test_scores(docs_of, awkward, monkeypatch):
     want = Counter((r[0], held(r[0]), *brute.unigram(train, r[1])[:3], round(brute.unigram(train, r[1])[3], 4)) for r in rows)
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
     assert all(r.score < 0 for r in got)
+
+
+def test_scores_of_rare_subwords_need_no_cap(docs_of, monkeypatch):
+    monkeypatch.setattr(lmscore, "STEPS", 3)
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    letters = [chr(0x4E00 + i) for i in range(6093)]
+    own = attention.IDS - attention.FIRST  # these occur three times, the others once
+    texts = [" ".join(letters[a : a + 60]) for a in range(0, len(letters), 60)] + [" ".join(letters[:own])] * 2
+    rows = [*zip(ids, texts, strict=False)]
+    score = lambda: {r.doc_id: r.score for r in lmscore.scores(docs_of(rows)).collect()}
+    whole = score()
+    monkeypatch.setattr(lmscore, "RARE_KEPT", 1)
+    assert score() == pytest.approx(whole, rel=1e-5)
