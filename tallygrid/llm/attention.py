@@ -129,6 +129,19 @@ class Attention:
         }
         return Attention({k: v.astype(np.float32) for k, v in w.items()})
 
+    def flat(self) -> np.ndarray:
+        """All weights in a row."""
+        return np.concatenate([self.weights[k].ravel() for k in sorted(self.weights)])
+
+    def moved(self, by: np.ndarray) -> Attention:
+        """A copy with ``by`` added to its weights in a row."""
+        out, at = {}, 0
+        for k in sorted(self.weights):
+            w = self.weights[k]
+            out[k] = w + by[at : at + w.size].reshape(w.shape).astype(w.dtype)
+            at += w.size
+        return Attention(out)
+
     def hidden(self, ids: np.ndarray) -> tuple[np.ndarray, dict]:
         """States of a batch of windows; place t sees the places up to t only."""
         w, (n, t) = self.weights, ids.shape
@@ -234,31 +247,13 @@ class Attention:
         x = c["x"].reshape(-1, WIDTH)
         g["qkv"] = x.T @ dqkv
         dx = dy + dqkv @ w["qkv"].T
-        np.add.at(g["embed"], ids.ravel(), dx)
+        order = np.argsort(ids.ravel(), kind="stable")
+        own = ids.ravel()[order]
+        heads = np.flatnonzero(np.diff(own, prepend=-1))
+        g["embed"][own[heads]] = np.add.reduceat(dx[order], heads, axis=0)
         g["place"][:t] = dx.reshape(n, t, WIDTH).sum(axis=0)
         return float(loss / max(m, 1)), g
 
-    def train(self, ids: np.ndarray, begins: np.ndarray, steps: int, batch: int = 64, rate: float = 0.01, seed: int = 11) -> list[float]:
-        """Adam over random windows; returns the losses."""
-        rng = np.random.default_rng(seed)
-        firsts, sizes, context = windows(begins)
-        if not len(firsts):
-            return []
-        mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        square = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        losses = []
-        for i in range(1, steps + 1):
-            chosen = rng.integers(0, len(firsts), min(batch, len(firsts)))
-            x, y, used = window_arrays(ids, firsts[chosen], sizes[chosen], context[chosen])
-            loss, g = self.step(x, y, used)
-            losses.append(loss)
-            now = rate * min(1.0, i / 30) * (1 - 0.95 * i / steps)
-            for k, v in self.weights.items():
-                mean[k] += 0.1 * (g[k] - mean[k])
-                square[k] += 0.01 * (g[k] ** 2 - square[k])
-                v -= (now * (mean[k] / (1 - 0.9**i)) / (np.sqrt(square[k] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
-        return losses
-
     def score(self, ids: np.ndarray, begins: np.ndarray, batch: int = 256) -> np.ndarray:
         """Log chance of every id, each scored once."""
         firsts, sizes, context = windows(begins)
@@ -272,6 +267,37 @@ class Attention:
         return out
 
 
+class Trainer:
+    """Adam over the windows of texts as they come, on a copy of a model; ``windows`` counts those used."""
+
+    def __init__(self, start: Attention, rate: float, seed: int = 11) -> None:
+        self.model, self.rate, self.rng = start.moved(np.zeros(len(start.flat()))), rate, np.random.default_rng(seed)
+        self.mean = {k: np.zeros_like(v) for k, v in start.weights.items()}
+        self.square = {k: np.zeros_like(v) for k, v in start.weights.items()}
+        self.steps = self.windows = 0
+
+    def learn(self, ids: np.ndarray, begins: np.ndarray, share: int, shares: int, times: int, batch: int) -> None:
+        """Every window whose number is ``share`` modulo ``shares``, each so many times."""
+        firsts, sizes, context = (x[share::shares] for x in windows(begins))
+        self.windows += len(firsts)
+        for _ in range(times if len(firsts) else 0):
+            order = self.rng.permutation(len(firsts))
+            for a in range(0, len(order), batch):
+                chosen = order[a : a + batch]
+                self._step(*window_arrays(ids, firsts[chosen], sizes[chosen], context[chosen]))
+
+    def _step(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> None:
+        _, g = self.model.step(x, y, used)
+        self.steps += 1
+        i = self.steps
+        now = self.rate * min(1.0, i / 30)
+        first, second = 1 - 0.9**i, 1 - 0.99**i
+        for k, v in self.model.weights.items():
+            self.mean[k] += 0.1 * (g[k] - self.mean[k])
+            self.square[k] += 0.01 * (g[k] ** 2 - self.square[k])
+            v -= (now * (self.mean[k] / first) / (np.sqrt(self.square[k] / second) + 1e-8)).astype(np.float32)
+
+
 def _counter(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 

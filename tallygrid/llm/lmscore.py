@@ -1,9 +1,10 @@
 """Language-model scores of whole texts, beside an add-one unigram score of their words.
 
-Word and subword counts come from all training texts. The attention model is
-trained on the driver on a bounded sample; its output for rare subwords uses
-the counts. Each text is cut into overlapping windows that score every subword
-once.
+Word and subword counts come from all training texts, and so do the weights of
+the attention model: in each round every task learns from its share of all
+training windows, and the moves of the weights are summed over the tasks by
+windows. The model's output for rare subwords uses the counts. Each text is cut
+into overlapping windows that score every subword once.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.attention import END_PIECE, FIRST, IDS, Attention, Vocabulary, pieces
+from tallygrid.llm.attention import END_PIECE, FIRST, IDS, OVERLAP, WINDOW, Attention, Trainer, Vocabulary, pieces
 from tallygrid.llm.common import commonest, remainder, written
 from tallygrid.llm.textnum import SpanHasher, lowered, raw, word_spans
 
@@ -22,8 +23,10 @@ from tallygrid.llm.textnum import SpanHasher, lowered, raw, word_spans
 HELD_OUT, FOLDS = 2, 7
 #: Words and rare subwords whose counts are sent to all tasks; the others are joined.
 HEAD, RARE_KEPT = 1 << 17, 1 << 16
-#: Texts that the attention model is fitted on, none longer than FIT_BYTES, and its training steps.
-FIT_TEXTS, FIT_BYTES, STEPS = 3000, 1 << 16, 1500
+#: Rounds that together use every training window, windows of a step, first rate. A corpus of fewer windows than STEPS steps have uses each several times.
+ROUNDS, BATCH, RATE, STEPS = 4, 64, 0.01, 1500
+#: Weights that are summed in one row.
+BLOCK = 1024
 WORDS, PIECES, TEXTS = 0, 1, 2
 
 
@@ -80,17 +83,48 @@ def fit(training: DataFrame, counts: DataFrame, totals: dict[int, tuple[int, int
     rest = totals.get(PIECES, (0, 0))[0] - int(n.sum())
     vocabulary = Vocabulary.of(keys, n, totals.get(TEXTS, (0, 0))[0], rest)
     model = Attention.fresh(vocabulary.counts)
-    short = training.where(F.octet_length("text") <= FIT_BYTES)
-    mark = F.xxhash64("doc_id", "text")
-    chosen = short.select(mark.alias("_mark")).orderBy("_mark").limit(FIT_TEXTS).distinct()
-    sample = short.join(F.broadcast(chosen), mark == F.col("_mark")).select("_mark", "text").dropDuplicates(["_mark"])  # FIT_TEXTS rows at most
-    texts = [raw(t) for t in sample.toPandas().sort_values("_mark")["text"]]
+    texts = totals.get(TEXTS, (0, 0))[0]
     if texts:
-        found, begins = pieces(texts)
-        model.train(vocabulary.encode(found)[0], begins, STEPS)
+        model = trained(training, vocabulary, model, totals.get(PIECES, (0, 0))[0] // (WINDOW - OVERLAP) + texts)
     return vocabulary, model
 
 
+def trained(training: DataFrame, vocabulary: Vocabulary, model: Attention, windows: int) -> Attention:
+    """The model after ROUNDS rounds over all training windows, of which there are about ``windows``.
+
+    Each task starts a round from the same weights and passes on how far it
+    moved them, times its windows; only the weights are broadcast, and only
+    their summed moves come back.
+    """
+    context, times = training.sparkSession.sparkContext, max(1, -(-STEPS * BATCH // windows))
+    for number in range(ROUNDS):
+        held = context.broadcast((vocabulary, model))  # bounded by IDS, RARE_KEPT
+
+        def learn(frames, held=held, number=number):
+            vocabulary, start = held.value
+            trainer = Trainer(start, RATE * (1 - 0.9 * number / ROUNDS))
+            for frame in frames:
+                texts = [raw(t) for t in frame["text"]]
+                for a, b in _chunks(texts, 1 << 20):
+                    found, begins = pieces(texts[a:b])
+                    trainer.learn(vocabulary.encode(found)[0], begins, number, ROUNDS, times, BATCH)
+            if trainer.windows:
+                moves = (trainer.model.flat() - start.flat()) * np.float64(trainer.windows)
+                cuts = [moves[a : a + BLOCK] for a in range(0, len(moves), BLOCK)]
+                yield pd.DataFrame({"block": range(len(cuts)), "part": TaskContext.get().partitionId(), "windows": trainer.windows, "moves": cuts})
+
+        def summed(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values("part")
+            return pd.DataFrame({"block": rows["block"].iloc[:1], "windows": [rows["windows"].sum()], "moves": [np.sum(np.stack(rows["moves"].tolist()), axis=0)]})
+
+        moves = training.select("text").mapInPandas(learn, "block int, part int, windows long, moves array<double>")
+        rows = sorted(moves.groupBy("block").applyInPandas(summed, "block int, windows long, moves array<double>").collect())  # as many as the weights fill
+        if rows:
+            model = model.moved(np.concatenate([r["moves"] for r in rows]) / rows[0]["windows"])
+        held.destroy()
+    return model
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallygrid.llm import attention, forest, huffman, lmscore, mixing, ngramjoin, quality, repeats, sharding, spm, tokenstore, toxicity
 from tallygrid.llm.bpe import Encoder
@@ -457,3 +458,24 @@ def test_scores_of_rare_subwords_need_no_cap(docs_of, monkeypatch):
     whole = score()
     monkeypatch.setattr(lmscore, "RARE_KEPT", 1)
     assert score() == pytest.approx(whole, rel=1e-5)
+
+
+def test_language_model_learns_from_every_window(spark, monkeypatch):
+    rng = random.Random(4)
+    names = [f"{a}{b}{c}" for a in "abcdef" for b in "aeiou" for c in "lmn"]
+    cycle = " ".join(rng.sample(names, 60))
+    long = " ".join([cycle] * 400)  # beyond 65,536 bytes
+    docs = spark.createDataFrame([(0, long)], "doc_id long, text string")
+    counts = lmscore.corpus_counts(docs)
+    totals = {r["kind"]: (r["n"], r["keys"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("keys")).collect()}
+    monkeypatch.setattr(lmscore, "STEPS", 400)
+    vocabulary, model = lmscore.fit(docs, counts, totals)
+    found, begins = attention.pieces([cycle.encode()])
+    ids = vocabulary.encode(found)[0]
+    assert model.score(ids, begins).mean() > attention.Attention.fresh(vocabulary.counts).score(ids, begins).mean() + 1
+
+    trainer, found, begins = attention.Trainer(model, 0.01), *attention.pieces([long.encode(), b"", b"a short one"])
+    ids, firsts = vocabulary.encode(found)[0], attention.windows(begins)[0]
+    for share in range(lmscore.ROUNDS):
+        trainer.learn(ids, begins, share, lmscore.ROUNDS, 1, 64)
+    assert trainer.windows == len(firsts)
