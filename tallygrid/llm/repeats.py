@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 from tallygrid.llm.common import body, maybe_in, written
 from tallygrid.llm.suffix import Shard
-from tallygrid.llm.textnum import SpanHasher, mixed, raw
+from tallygrid.llm.textnum import SpanHasher, mixed, raw, word_spans
 
 #: Fixed by the task.
 LENGTH = 400
+#: Bytes that stand for a word where passages are told by words.
+CODE = 8
 #: Bytes of an anchor, and of a shard's fragments.
 ANCHOR, SHARD_BYTES = 64, 1 << 20
 
@@ -49,11 +51,15 @@ def anchored(data: np.ndarray, hasher: SpanHasher, length: int = LENGTH) -> tupl
     return own[at[starts]], mixed(whole + (at[starts] - starts).astype(np.uint64)), starts, counts
 
 
+def _bytes(text: str | bytes | None) -> bytes:
+    return bytes(text) if isinstance(text, bytes | bytearray) else raw(text)
+
+
 def row_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
-def _fragments(docs: DataFrame) -> DataFrame:
+def _fragments(docs: DataFrame, length: int) -> DataFrame:
     """(key, a, f, n, k, starts): per document and distinct fragment its places; a, f: hashes of anchor and fragment, k: strings in it."""
 
     def run(frames):
@@ -61,7 +67,7 @@ def _fragments(docs: DataFrame) -> DataFrame:
         for frame in frames:
             out, held = [], 0
             for key, text in zip(frame["key"], frame["text"], strict=True):
-                a, f, starts, counts = anchored(np.frombuffer(raw(text), dtype=np.uint8), hasher)
+                a, f, starts, counts = anchored(np.frombuffer(_bytes(text), dtype=np.uint8), hasher, length)
                 if not len(a):
                     continue
                 order = np.lexsort((f, a))
@@ -79,7 +85,7 @@ def _fragments(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "key long, a long, f long, n int, k int, starts array<int>")
 
 
-def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted fragments (key, a, f, sure, start, k, part): (a, part, f, sure, k, bytes)."""
     by_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("a", "part", "f", "sure", "start", "k")).alias("cuts"))
     near = maybe_in(docs, by_doc.select("key"), "key").dropDuplicates(["key"])
@@ -88,8 +94,8 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for frame in frames:
             out = []
             for text, cuts in zip(frame["text"], frame["cuts"], strict=True):
-                data = raw(text)
-                out += [(c["a"], c["part"], c["f"], c["sure"], c["k"], data[c["start"] : c["start"] + c["k"] + LENGTH - 1]) for c in cuts]
+                data = _bytes(text)
+                out += [(c["a"], c["part"], c["f"], c["sure"], c["k"], data[c["start"] : c["start"] + c["k"] + length - 1]) for c in cuts]
                 if len(out) > 5000:
                     yield pd.DataFrame(out, columns=["a", "part", "f", "sure", "k", "bytes"])
                     out = []
@@ -103,11 +109,11 @@ def _runs(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return np.flatnonzero(change == 1).tolist(), np.flatnonzero(change == -1).tolist()
 
 
-def _in_shards(cuts: DataFrame) -> DataFrame:
+def _in_shards(cuts: DataFrame, length: int) -> DataFrame:
     """Per fragment that isn't sure to repeat as a whole: which of its strings repeat in its shard, as runs (a, part, f, k, froms, tos)."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        shard = Shard(list(rows["bytes"]), LENGTH)
+        shard = Shard(list(rows["bytes"]), length)
         found = shard.repeated()
         out = []
         for i, (a, part, f, sure, k) in enumerate(zip(rows["a"], rows["part"], rows["f"], rows["sure"], rows["k"], strict=True)):
@@ -140,7 +146,7 @@ def _in_shards(cuts: DataFrame) -> DataFrame:
     return dealt.mapInPandas(run, "a long, part int, f long, froms array<int>, tos array<int>")
 
 
-def _across_shards(cuts: DataFrame) -> DataFrame:
+def _across_shards(cuts: DataFrame, length: int) -> DataFrame:
     """For anchors dealt over several shards: strings that occur in two of them, as runs (a, part, f, froms, tos).
 
     Each shard's distinct strings are sorted by hash and cut into as many ranges
@@ -153,7 +159,7 @@ def _across_shards(cuts: DataFrame) -> DataFrame:
             rows = []
             for a, parts, part, f, k, data in zip(frame["a"], frame["parts"], frame["part"], frame["f"], frame["k"], frame["bytes"], strict=True):
                 places = np.arange(k)
-                marks = hasher(np.frombuffer(data, dtype=np.uint8), places, places + LENGTH)
+                marks = hasher(np.frombuffer(data, dtype=np.uint8), places, places + length)
                 spread = ((marks >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
                 for r in np.unique(spread):
                     own = spread == r
@@ -183,21 +189,45 @@ def _across_shards(cuts: DataFrame) -> DataFrame:
     return marks.groupBy("a", "range").applyInPandas(merge, "a long, part int, f long, froms array<int>, tos array<int>")
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
-    """(key, froms, tos): per document (by row_key) with any, the maximal runs of bytes covered by repeated strings."""
-    keyed = docs.select("doc_id", "text").withColumn("key", row_key())
-    fragments = written(_fragments(keyed.select("key", "text")))
+def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(key, froms, tos): per document (by row_key) with any, the maximal runs of bytes covered by repeated strings of ``length``."""
+    return _spans(docs.select(row_key().alias("key"), "text"), length)
+
+
+def removed_words(docs: DataFrame, words: int) -> DataFrame:
+    """(key, froms, tos): as removed_spans, in numbers of words, covered by repeated runs of ``words`` words.
+
+    Each word is told by CODE bytes of its hash, white space counts for nothing.
+    A run of codes that repeats off their bounds is cut back to whole words.
+    """
+
+    def code(frames):
+        hasher = SpanHasher()
+        for frame in frames:
+            found = []
+            for text in frame["text"]:
+                data = np.frombuffer(raw(text), dtype=np.uint8)
+                found.append(hasher(data, *word_spans(data)).astype(np.uint64).tobytes())
+            yield pd.DataFrame({"key": frame["key"], "text": found})
+
+    coded = docs.select(row_key().alias("key"), "text").mapInPandas(code, "key long, text binary")
+    whole = lambda name, add: F.transform(name, lambda x: F.floor((x + add) / CODE).cast("int")).alias(name)
+    return _spans(written(coded), CODE * words).select("key", whole("froms", CODE - 1), whole("tos", 0))
+
+
+def _spans(keyed: DataFrame, length: int) -> DataFrame:
+    fragments = written(_fragments(keyed, length))
     first = F.min(F.struct("key", F.col("starts")[0].alias("start")))
     kinds = fragments.groupBy("a", "f").agg(F.sum("n").alias("n"), first.alias("rep"), F.first("k").alias("k"))
     kinds = written(kinds.select("a", "f", (F.col("n") > 1).alias("sure"), "rep.key", "rep.start", "k"))
     anchors = kinds.groupBy("a").agg(
-        F.count("*").alias("kinds"), F.bool_and("sure").alias("all_sure"), F.sum(F.col("k") + (LENGTH - 1)).alias("bytes")
+        F.count("*").alias("kinds"), F.bool_and("sure").alias("all_sure"), F.sum(F.col("k") + (length - 1)).alias("bytes")
     )
     anchors = anchors.where("kinds > 1 and not all_sure").select("a", F.ceil(F.col("bytes") / SHARD_BYTES).cast("int").alias("parts"))
     wanted = kinds.join(anchors, "a").withColumn("part", F.pmod(F.xxhash64("f"), F.col("parts")).cast("int"))
-    cuts = written(_cut(keyed, wanted).join(anchors, "a"))
-    inside = _in_shards(cuts.select("a", "part", "f", "sure", "k", "bytes")).select("a", "f", "froms", "tos")
-    across = _across_shards(cuts).select("a", "f", "froms", "tos")
+    cuts = written(_cut(keyed, wanted, length).join(anchors, "a"))
+    inside = _in_shards(cuts.select("a", "part", "f", "sure", "k", "bytes"), length).select("a", "f", "froms", "tos")
+    across = _across_shards(cuts, length).select("a", "f", "froms", "tos")
     part = inside.union(across)
     sure = kinds.where("sure").select("a", "f", F.array(F.lit(0)).alias("froms"), F.array("k").alias("tos"))
     found = sure.union(part)
@@ -208,7 +238,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
             for starts, a, b in zip(frame["starts"], frame["froms"], frame["tos"], strict=True):
                 base = np.asarray(starts, dtype=np.int64)[:, None]
                 froms.append((base + np.asarray(a)).ravel())
-                tos.append((base + np.asarray(b) + (LENGTH - 1)).ravel())
+                tos.append((base + np.asarray(b) + (length - 1)).ravel())
             yield pd.DataFrame({"key": frame["key"], "froms": froms, "tos": tos})
 
     def union(frames):
@@ -277,25 +307,49 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def _by_bytes(data: bytes, froms, tos, word_froms, word_tos) -> tuple[list[int], list[int]]:
+    """Runs of bytes and runs of words as joint runs of bytes."""
+    runs = [(int(a), int(b)) for a, b in zip(froms, tos, strict=True)] if froms is not None else []
+    if word_froms is not None:
+        starts, ends = word_spans(np.frombuffer(data, dtype=np.uint8))
+        runs += [(int(starts[a]), int(ends[b - 1])) for a, b in zip(word_froms, word_tos, strict=True)]
+    out: list[list[int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [a for a, _ in out], [b for _, b in out]
+
+
+def without_repeats(docs: DataFrame, words: int = 0) -> DataFrame:
     """``docs`` with the repeated strings cut out of the texts and n_chars to match; rows with nothing left go.
 
+    Besides strings of LENGTH bytes these are passages of ``words`` words, if any.
     A character of which a byte is removed goes as a whole. Rows whose text was
     empty or null already stay as they are.
     """
     names = docs.columns
     packed = docs.select(F.struct(*names).alias("_doc"), "text", row_key().alias("key"))
-    spans = written(removed_spans(docs))
+    spans = removed_spans(docs)
+    if words:
+        more = removed_words(docs, words).withColumnsRenamed({"froms": "word_froms", "tos": "word_tos"})
+        spans = spans.join(more, "key", "full")
+    else:
+        spans = spans.selectExpr("*", "cast(null as array<int>) word_froms", "cast(null as array<int>) word_tos")
+    spans = written(spans)
+    runs = ["froms", "tos", "word_froms", "word_tos"]
 
     def cut(frames):
         for frame in frames:
             frame["text"] = [
-                _kept(raw(text), froms, tos).decode("utf-8", "ignore") for text, froms, tos in zip(frame["text"], frame["froms"], frame["tos"], strict=True)
+                _kept(data, *_by_bytes(data, *own)).decode("utf-8", "ignore")
+                for data, *own in zip(map(raw, frame["text"]), *(frame[c] for c in runs), strict=True)
             ]
             yield frame[["key", "text"]]
 
     texts = maybe_in(packed.select("key", "text"), spans.select("key"), "key").dropDuplicates(["key"])
-    new = texts.join(spans, "key").select("key", "text", "froms", "tos").mapInPandas(cut, "key long, text string")
+    new = texts.join(spans, "key").select("key", "text", *runs).mapInPandas(cut, "key long, text string")
     joined = packed.drop("text").join(new.withColumnRenamed("text", "_new"), "key", "left")
     text = F.coalesce("_new", "_doc.text")
     fields = {c: F.col(f"_doc.`{c}`") for c in names} | {"text": text}

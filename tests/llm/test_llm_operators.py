@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -222,6 +223,17 @@ def test_texts_without_repeats(docs_of):
     assert got == {i: (t, None if t is None else len(t)) for i, t in want.items()}
 
 
+def test_passages_of_51_words_go(spark, docs_of):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    own = lambda n: [word() for _ in range(n)]
+    passage, short = own(51), own(50)  # 305 and 299 bytes
+    parts = [(own(30), own(20)) for _ in range(4)]
+    rows = [(i, " ".join([*a, *(passage if i < 2 else short), *b])) for i, (a, b) in enumerate(parts)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs_of(rows), "").collect()}
+    assert got == {i: " ".join(a) + "  " + " ".join(b) if i < 2 else rows[i][1] for i, (a, b) in enumerate(parts)}
+
+
 # token files
 
 
