@@ -118,8 +118,11 @@ def estimate(patterns: list[tuple[tuple[int | None, ...], int]], beliefs: list[t
     Both classes are taken as equally likely beforehand. ``beliefs`` (votes
     against good, against bad) weigh as much as all data together, which keeps
     the classes from trading places and from splitting along one kind of junk.
-    There are at most 3 to the number of rules patterns, however many documents.
+    There are at most 3 to the number of rules patterns, however many documents;
+    without any there are no posteriors.
     """
+    if not patterns:
+        return {}
     total = sum(count for _, count in patterns)
     rates = [list(b) for b in beliefs]
     posterior: dict[tuple, float] = {}

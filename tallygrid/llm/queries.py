@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrid.llm import forest, lmscore, mixing, ngramjoin, quality, repeats, sharding, spm, tokenstore, toxicity
+from tallygrid.llm import forest, lmscore, mixing, ngramjoin, quality, repeats, repetition, sharding, spm, tokenstore, toxicity
 from tallygrid.llm.common import table
 from tallygrid.llm.oracles import MIXING
 
@@ -50,5 +50,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op2_lm_scores, op3_mixing, op4_repeats, op5_hash_forest, op6_sentencepiece, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules)}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.run_digests(repetition.with_runs(table(spark, sf_dir, "documents"), repetition.repeated_tail))
+
+
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_lm_scores, op3_mixing, op4_repeats, op5_hash_forest, op6_sentencepiece, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules, op13_periodic_runs)}
 SQL = {"op3_mixing": MIXING}
