@@ -23,3 +23,27 @@ SELECT doc_id, size, source_size, target,
           + greatest(0, least(size, CAST(floor(target) AS BIGINT) - before - source_size)) AS BIGINT) AS taken
 FROM q
 """
+
+_WHOLE = """
+WITH v AS (
+  SELECT vec_id, label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS ints FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)"""
+
+HIGHEST = f"""{_WHOLE},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.ints, c.ints) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+HARD_NEGATIVES = f"""{_WHOLE},
+l AS (SELECT vec_id, ints, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM v WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_inner_product(a.ints, c.ints) AS BIGINT) AS score
+      FROM l a JOIN l c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""

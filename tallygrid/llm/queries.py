@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallygrid.llm import forest, lmscore, mixing, ngramjoin, quality, repeats, repetition, sharding, spm, tokenstore, toxicity
+from tallygrid.llm import forest, lmscore, mixing, negatives, ngramjoin, quality, repeats, repetition, sharding, spm, threshold, tokenstore, toxicity
 from tallygrid.llm.common import table
-from tallygrid.llm.oracles import MIXING
+from tallygrid.llm.oracles import HARD_NEGATIVES, HIGHEST, MIXING
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,9 +51,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_threshold_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold.highest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return negatives.hard_negatives(rows.withColumn("label", negatives.moved_label(F.col("label"), F.col("vec_id"))))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.run_digests(repetition.with_runs(table(spark, sf_dir, "documents"), repetition.repeated_tail))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op2_lm_scores, op3_mixing, op4_repeats, op5_hash_forest, op6_sentencepiece, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules, op13_periodic_runs)}
-SQL = {"op3_mixing": MIXING}
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_lm_scores, op3_mixing, op4_repeats, op5_hash_forest, op6_sentencepiece, op7_token_store, op8_ngram_join, op9_sharding, op10_quality_rules, op11_threshold_top, op12_hard_negatives, op13_periodic_runs)}
+SQL = {"op3_mixing": MIXING, "op11_threshold_top": HIGHEST, "op12_hard_negatives": HARD_NEGATIVES}

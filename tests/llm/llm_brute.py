@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -97,3 +98,61 @@ def unigram(train, text):
     n, v = sum(counts.values()), len(counts)
     own = tokens(text)
     return len(own), sum(counts[w] > 0 for w in own), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own)
+
+
+def runs(own, least=6, times=4):
+    """(start, length, period) of the maximal stretches with their smallest period."""
+    found = {}
+    for q in range(1, len(own) // times + 1):
+        i = 0
+        while i < len(own) - q:
+            j = i
+            while j < len(own) - q and own[j] == own[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, times * q):
+                found.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted((i, n, q) for (i, n), q in found.items())
+
+
+def tail_repeated(doc_id, own):
+    h, n = zlib.crc32(str(doc_id).encode()), len(own)
+    if h % 10 or not n:
+        return own
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return [own[i] if i < a else own[a + (i - a) % p] for i in range(n)]
+
+
+def run_row(doc_id, text):
+    own = tail_repeated(doc_id, words(text))
+    all_ = runs(own)
+    dropped = {i for s, n, q in all_ for i in range(s + q, s + n)}
+    best = min(all_, key=lambda r: (-r[1], r[0], r[2])) if all_ else (None, None, None)
+    kept = " ".join(w for i, w in enumerate(own) if i not in dropped)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in all_)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return doc_id, len(all_), *best, best[1] * 1000 // best[2] if all_ else None, sha(lines), sha(kept)
+
+
+def whole_vectors(rows):
+    """(id, label, whole numbers) of the rows (id, vector, label) that take part."""
+    fine = [r for r in rows if r[0] is not None and r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    return [(r[0], r[2], [math.floor(256 * x) for x in r[1]]) for r in fine]
+
+
+def ranked(one, rows):
+    """(score, id, label) of the other rows with vectors as long, best first."""
+    scored = [(sum(x * y for x, y in zip(one[2], r[2], strict=True)), r[0], r[1]) for r in rows if r is not one and len(r[2]) == len(one[2])]
+    return sorted(scored, key=lambda r: (-r[0], r[1]))
+
+
+def hard_negatives(rows, every=100):
+    full = [r for r in whole_vectors(rows) if r[1] is not None]
+    out = []
+    for a in (r for r in full if r[0] % every == 0):
+        others = ranked(a, full)
+        for score, positive, _ in [r for r in others if r[2] == a[1]][:5]:
+            band = [r for r in others if r[2] != a[1] and 80 * score <= 100 * r[0] <= 100 * score][:5]
+            out += [(a[0], positive, k + 1, r[1], score, r[0]) for k, r in enumerate(band)]
+    return sorted(out)

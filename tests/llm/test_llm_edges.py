@@ -8,7 +8,7 @@ OPERATORS = [name for name in entry.QUERIES if name.startswith("op")]
 
 
 def test_registered():
-    assert sorted({int(n[2:].split("_")[0]) for n in OPERATORS}) == list(range(1, 11)) and "pipeline" in entry.QUERIES
+    assert sorted({int(n[2:].split("_")[0]) for n in OPERATORS}) == list(range(1, 14)) and "pipeline" in entry.QUERIES
 
 
 @pytest.fixture(scope="module")
