@@ -11,7 +11,7 @@ from tallygrid.checks.mart_sql import number, with_ctes
 from tallygrid.checks.shape import shown
 from tallygrid.operators.horizons import month_horizon, trailing_horizon
 from tallygrid.plans import accounts, accruals, billing, results
-from tallygrid.plans.run import AccrualRun, accrual_run, stored_run
+from tallygrid.plans.run import AccrualRun, accrual_run, staged_core, staged_lines, stored_run
 from tallygrid.session import Staging, fresh_path, prepare
 from tallygrid.sinks.runlog import RunLog
 from tallygrid.sinks.tables import row_count
@@ -29,8 +29,12 @@ def staging(spark: SparkSession) -> Staging:
     return Staging(spark, fresh_path(spark, "stage"))
 
 
-def staged_run(spark: SparkSession, sf_dir: str) -> AccrualRun:
-    return accrual_run(sources(spark, sf_dir), TEST_RUN, staging(spark))
+def finished(spark: SparkSession, build: Callable[[Staging], DataFrame]) -> DataFrame:
+    """What ``build`` makes of staged frames, stored, so that the staged frames can go."""
+    with staging(spark) as stage:
+        frame, path = build(stage), fresh_path(spark, "result")
+        frame.write.parquet(path)
+    return shown(spark.read.schema(frame.schema).parquet(path))
 
 
 def _model(build: Callable[[BillingSources], DataFrame]) -> Query:
@@ -38,7 +42,11 @@ def _model(build: Callable[[BillingSources], DataFrame]) -> Query:
 
 
 def _result(pick: Callable[[AccrualRun], DataFrame]) -> Query:
-    return lambda spark, sf_dir: shown(pick(staged_run(spark, sf_dir)))
+    return lambda spark, sf_dir: finished(spark, lambda stage: pick(accrual_run(sources(spark, sf_dir), TEST_RUN, stage)))
+
+
+def _staged(build: Callable[[BillingSources, Staging], DataFrame]) -> Query:
+    return lambda spark, sf_dir: finished(spark, lambda stage: build(sources(spark, sf_dir), stage))
 
 
 def _active(src: BillingSources) -> DataFrame:
@@ -53,29 +61,22 @@ def _registry(src: BillingSources) -> DataFrame:
     return billing.registry(src, billing.bill_lines(src, _posted(src)))
 
 
-def _never_billed(src: BillingSources) -> DataFrame:
-    active = _active(src)
-    lines = billing.bill_lines(src, billing.posted_lines(src, active, TEST_RUN))
-    return accounts.never_billed_accounts(active, lines)
-
+def _never_billed(src: BillingSources, stage: Staging) -> DataFrame:
+    lines = staged_lines(src, TEST_RUN, stage)
+    return accounts.never_billed_accounts(lines.accounts, billing.bill_lines(src, lines.posted))
 
-def _staged_core(src: BillingSources, stage: Staging) -> DataFrame:
-    posted = stage(_posted(src), "posted_lines")
-    return stage(billing.invoice_core_from_posted(src, posted), "invoice_core")
 
+def _core(src: BillingSources, stage: Staging) -> DataFrame:
+    return billing.ranked_bills(staged_core(src, staged_lines(src, TEST_RUN, stage), stage))
 
-def _core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(billing.ranked_bills(_staged_core(sources(spark, sf_dir), staging(spark))))
 
+def _actuals(src: BillingSources, stage: Staging) -> DataFrame:
+    core = staged_core(src, staged_lines(src, TEST_RUN, stage), stage)
+    return accruals.actuals(core, month_horizon(src.dim_date, TEST_RUN), TEST_RUN)
 
-def _actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = sources(spark, sf_dir)
-    core = _staged_core(src, staging(spark))
-    return shown(accruals.actuals(core, month_horizon(src.dim_date, TEST_RUN), TEST_RUN))
 
-
-def _never_billed_months(src: BillingSources) -> DataFrame:
-    return accounts.never_billed_months(_never_billed(src), month_horizon(src.dim_date, TEST_RUN), TEST_RUN)
+def _never_billed_months(src: BillingSources, stage: Staging) -> DataFrame:
+    return accounts.never_billed_months(_never_billed(src, stage), month_horizon(src.dim_date, TEST_RUN), TEST_RUN)
 
 
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +92,15 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rows the extract keeps is free; how many, and that all are rows of the summary, is not."""
-    stage = staging(spark)
-    run = accrual_run(sources(spark, sf_dir), TEST_RUN, stage)
-    summary = stage(results.accrual_summary(run.detail, TEST_RUN), "summary")
-    extract = stage(results.summary_extract(summary), "extract")
-    strange = extract.exceptAll(summary).agg(F.count(F.lit(1)).alias("not_in_summary"))
-    return row_count(extract).withColumnRenamed("row_count", "kept_rows").crossJoin(strange)  # two frames of one row
+
+    def build(stage: Staging) -> DataFrame:
+        run = accrual_run(sources(spark, sf_dir), TEST_RUN, stage)
+        summary = stage(results.accrual_summary(run.detail, TEST_RUN), "summary")
+        extract = stage(results.summary_extract(summary), "extract")
+        strange = extract.exceptAll(summary).agg(F.count(F.lit(1)).alias("not_in_summary"))
+        return row_count(extract).withColumnRenamed("row_count", "kept_rows").crossJoin(strange)  # two frames of one row
+
+    return finished(spark, build)
 
 
 QUERIES: dict[str, Query] = {
@@ -107,11 +111,11 @@ QUERIES: dict[str, Query] = {
     "mart_invoice_volume": _model(lambda src: billing.invoice_volume(_registry(src))),
     "mart_invoice_revenue": _model(lambda src: billing.invoice_revenue(_registry(src))),
     "mart_discounts": _model(lambda src: billing.adjustment_discounts(src, _posted(src))),
-    "mart_invoice_core": _core,
+    "mart_invoice_core": _staged(_core),
     "mart_seasonal_profile": _result(lambda run: run.profile),
-    "mart_never_billed_accounts": _model(_never_billed),
-    "mart_never_billed_months": _model(_never_billed_months),
-    "mart_actuals": _actuals,
+    "mart_never_billed_accounts": _staged(_never_billed),
+    "mart_never_billed_months": _staged(_never_billed_months),
+    "mart_actuals": _staged(_actuals),
     "mart_accrual_existing": _result(lambda run: run.existing),
     "mart_accrual_never_billed": _result(lambda run: run.imputed),
     "mart_detail": _result(lambda run: run.detail),

@@ -37,6 +37,19 @@ def latest_by_maxima(rows: DataFrame, key: str, *columns: str) -> DataFrame:
     return joined.filter(first).drop("_key", *[f"_{c}" for c in columns])
 
 
+def latest_in_buckets(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The rows of :func:`latest_by_maxima` in one pass, for frames that are dealt by ``key``.
+
+    The maxima come from a window over the key, so nothing is read twice or
+    joined, and a frame in buckets of ``key`` is not exchanged. All rows of a key
+    meet in one task: bound them first (:func:`tallygrid.operators.skew.fits_buckets`).
+    """
+    own = Window.partitionBy(key)
+    ranked = rows.select("*", *[F.max(c).over(own).alias(f"_{c}") for c in columns])
+    first: Column = reduce(lambda a, b: a | b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return ranked.filter(first).drop(*[f"_{c}" for c in columns])
+
+
 def latest_with_ties(rows: DataFrame, *ranks: str) -> DataFrame:
     """Rows ranked first in any of the orders; ties stay."""
     first: Column = reduce(lambda a, b: a | b, [F.col(rank) == 1 for rank in ranks])

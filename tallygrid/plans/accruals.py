@@ -17,7 +17,7 @@ from tallygrid.functions.measures import (
 from tallygrid.functions.numeric import zero_rate
 from tallygrid.operators.overlaps import overlap_explode
 from tallygrid.operators.profiles import segment_profile
-from tallygrid.operators.ranking import latest_by_maxima
+from tallygrid.operators.ranking import latest_by_maxima, latest_in_buckets
 from tallygrid.operators.skew import ROWS_PER_SALT, salted_join
 from tallygrid.params import RunParams
 
@@ -92,10 +92,15 @@ def actuals(core: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame
     return _labelled(measured, "Actual")
 
 
-def existing_accruals(core: DataFrame, profile: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame:
-    """Unbilled days after the latest bill, volumes scaled by season. ``core`` is read twice, so it should be written first."""
+def existing_accruals(core: DataFrame, profile: DataFrame, horizon: DataFrame, params: RunParams, bucketed: bool = False) -> DataFrame:
+    """Unbilled days after the latest bill, volumes scaled by season.
+
+    A ``core`` that is ``bucketed`` by account is read once and not exchanged.
+    Any other is read twice, so it should be written first.
+    """
+    find = latest_in_buckets if bucketed else latest_by_maxima
     latest = (
-        latest_by_maxima(core, "seq_product_item_id", "bill_sdt", "bill_edt")
+        find(core, "seq_product_item_id", "bill_sdt", "bill_edt")
         .filter(F.col("bill_edt") <= F.lit(params.period_end))
         .drop("trans_description")
         .withColumnRenamed("ex_charge_desc", "trans_description")

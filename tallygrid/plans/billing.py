@@ -37,12 +37,14 @@ def _time_class(src: BillingSources) -> DataFrame:
     )
 
 
-def posted_lines(src: BillingSources, accounts: DataFrame, params: RunParams) -> DataFrame:
+def posted_lines(src: BillingSources, accounts: DataFrame, params: RunParams, buckets: int | None = None) -> DataFrame:
     """Billable lines of open invoices posted in time, for active accounts.
 
     Charges and discounts both start here, so a run writes this frame once. The
     invoice lookup is optional in the model, but the posting date test rejects
-    lines without an invoice; it is an inner join.
+    lines without an invoice; it is an inner join. With ``buckets`` the lines
+    are dealt by account into so many partitions before the accounts join, and
+    stay so: with accounts in as many buckets that is the only exchange by account.
     """
     invoices = (
         scd2_current(src.invoice)
@@ -70,14 +72,16 @@ def posted_lines(src: BillingSources, accounts: DataFrame, params: RunParams) ->
         F.col("customer_type").alias("customer_segment"),
         *SERVICE,
     )
-    return (
+    lines = (
         scd2_current(src.invoicelineitem, *columns_of("invoicelineitem"))
         .filter(F.col("billable") == 1)
         .drop("billable")
         .withColumnRenamed("account_id", "seq_product_item_id")
-        .join(owners, "seq_product_item_id")
         .join(invoices, "invoice_id")
     )
+    if buckets:
+        lines = lines.repartition(buckets, "seq_product_item_id")
+    return lines.join(owners, "seq_product_item_id")
 
 
 def bill_lines(src: BillingSources, posted: DataFrame) -> DataFrame:
@@ -341,13 +345,19 @@ def _sparse(rows: DataFrame) -> DataFrame:
     )
 
 
-def _finish_core(rows: DataFrame) -> DataFrame:
-    """Dedupe, clean texts, key by segment.
+def _unique(rows: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Measured rows once.
 
     The measures of volume, revenue and discount rows never share a name, so
-    one distinct over the union equals a distinct per branch.
+    one distinct over their union equals a distinct per branch. Rows that are
+    dealt by account, as they come or into ``buckets``, meet without a further exchange.
     """
-    unique = rows.filter(F.col("measure_name").isNotNull()).distinct()
+    named = rows.filter(F.col("measure_name").isNotNull())
+    return (named.repartition(buckets, "seq_product_item_id") if buckets else named).distinct()
+
+
+def _finish_core(unique: DataFrame) -> DataFrame:
+    """Clean texts, key by segment."""
     cleaned = unique.withColumn("ex_charge_desc_orion", clean_description(F.col("trans_description")))
     return cleaned.select(
         *BILL,
@@ -370,7 +380,7 @@ def ranked_bills(core: DataFrame) -> DataFrame:
 
 def invoice_core(volume: DataFrame, revenue: DataFrame, discount: DataFrame) -> DataFrame:
     """Union of the three kinds of daily measures."""
-    return _finish_core(_sparse(volume).unionByName(_sparse(revenue)).unionByName(_sparse(discount)))
+    return _finish_core(_unique(_sparse(volume).unionByName(_sparse(revenue)).unionByName(_sparse(discount))))
 
 
 def charge_rows(lines: DataFrame) -> DataFrame:
@@ -400,12 +410,14 @@ def charge_rows(lines: DataFrame) -> DataFrame:
     return measured.select("*", F.inline(F.array("volume", "revenue"))).drop("volume", "revenue")
 
 
-def invoice_core_from_posted(src: BillingSources, posted: DataFrame) -> DataFrame:
+def invoice_core_from_posted(src: BillingSources, posted: DataFrame, buckets: int | None = None) -> DataFrame:
     """Same rows as :func:`invoice_core` without the intermediate models.
 
     The meter columns of the registry and the distincts between the models
-    cannot reach this result, so the lines go through one wide shuffle, not four.
+    cannot reach this result, so the lines go through one wide shuffle, not
+    four; none if ``posted`` lies in ``buckets`` by account. Discounts belong to
+    the account of the invoice, so they are dealt anew, summed up.
     """
-    charged = _sparse(charge_rows(bill_lines(src, posted)))
-    discounted = _sparse(_daily_discounts(discount_groups(src, posted)))
+    charged = _unique(_sparse(charge_rows(bill_lines(src, posted))))
+    discounted = _unique(_sparse(_daily_discounts(discount_groups(src, posted))), buckets)
     return _finish_core(charged.unionByName(discounted))

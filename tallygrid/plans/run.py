@@ -6,8 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallygrid.operators.horizons import month_horizon, trailing_horizon
+from tallygrid.operators.scd import scd2_current
+from tallygrid.operators.skew import fits_buckets
 from tallygrid.params import RunParams
 from tallygrid.plans import accounts, accruals, billing, results
 from tallygrid.session import Staging
@@ -15,7 +18,7 @@ from tallygrid.sinks.runlog import RunLog
 from tallygrid.sinks.tables import replace_run
 from tallygrid.sources.tables import BillingSources
 
-Stage = Callable[[DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]
 
 
 @dataclass(frozen=True)
@@ -31,6 +34,38 @@ class AccrualRun:
     detail: DataFrame
 
 
+@dataclass(frozen=True)
+class StagedLines:
+    accounts: DataFrame
+    posted: DataFrame
+    buckets: int | None
+
+
+def staged_lines(src: BillingSources, params: RunParams, stage: Stage) -> StagedLines:
+    """Active accounts and posted lines, in buckets by account where the stage offers them and no account is too hot."""
+    buckets = run_buckets(src, stage)
+    by_id, by_item = ("account_id", "seq_product_item_id") if buckets else (None, None)
+    active = stage(dealt(accounts.active_accounts(src, params), buckets, "account_id"), "active_accounts", by_id)
+    posted = stage(billing.posted_lines(src, active, params, buckets), "posted_lines", by_item)
+    return StagedLines(active, posted, buckets)
+
+
+def staged_core(src: BillingSources, lines: StagedLines, stage: Stage) -> DataFrame:
+    by = "seq_product_item_id" if lines.buckets else None
+    return stage(billing.invoice_core_from_posted(src, lines.posted, lines.buckets), "invoice_core", by)
+
+
+def run_buckets(src: BillingSources, stage: Stage) -> int | None:
+    """Buckets the stage offers, or None where it offers none or an account has more lines than a bucket should hold."""
+    buckets = getattr(stage, "buckets", None)
+    lines = scd2_current(src.invoicelineitem, "account_id", "billable").filter(F.col("billable") == 1)
+    return buckets if buckets and fits_buckets(lines, "account_id") else None
+
+
+def dealt(frame: DataFrame, buckets: int | None, key: str) -> DataFrame:
+    return frame.repartition(buckets, key) if buckets else frame
+
+
 def accrual_run(src: BillingSources, params: RunParams, stage: Stage) -> AccrualRun:
     """Build every model of a run.
 
@@ -38,17 +73,22 @@ def accrual_run(src: BillingSources, params: RunParams, stage: Stage) -> Accrual
     posted lines, daily measures and the seasonal profile. A
     :class:`tallygrid.session.Staging` writes them once. Without that the plan
     repeats them for each reader, which only small tests should do.
+
+    All but the profile are staged in buckets by account, so after the lines are
+    dealt once by account nothing that is joined, ranked, made distinct or summed
+    per account is exchanged again. If an account has too many lines for a
+    bucket they are staged plainly, and the same joins exchange and split it.
     """
-    active = stage(accounts.active_accounts(src, params), "active_accounts")
-    posted = stage(billing.posted_lines(src, active, params), "posted_lines")
-    core = stage(billing.invoice_core_from_posted(src, posted), "invoice_core")
+    lines = staged_lines(src, params, stage)
+    active, posted = lines.accounts, lines.posted
+    core = staged_core(src, lines, stage)
     horizon = month_horizon(src.dim_date, params)
     profile = stage(
         accruals.seasonal_profile(core, trailing_horizon(src.dim_date, params), params), "seasonal_profile"
     )
     unbilled = accounts.never_billed_accounts(active, billing.bill_lines(src, posted))
     actual = accruals.actuals(core, horizon, params)
-    existing = accruals.existing_accruals(core, profile, horizon, params)
+    existing = accruals.existing_accruals(core, profile, horizon, params, bool(lines.buckets))
     imputed = accruals.never_billed_accruals(
         accounts.never_billed_months(unbilled, horizon, params), profile
     )

@@ -55,22 +55,39 @@ class Staging:
 
     Unlike a cached frame the written table survives lost executors, and later
     readers still get column pruning and pushed filters. As a context manager
-    it removes its folder at the end, so results must be stored before that.
+    it removes its tables and its folder at the end, so results must be stored
+    before that.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None) -> None:
         self.spark = spark
         self.root = root
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tables: list[str] = []
 
-    def __call__(self, frame: DataFrame, name: str) -> DataFrame:
+    def __call__(self, frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """The stored frame. With ``by`` it lies in sorted buckets of that column.
+
+        Joins, windows and aggregates whose keys include the bucket column then
+        need no exchange of it. The frame should come dealt by ``by`` into
+        ``buckets`` partitions, which gives each bucket one file; otherwise
+        every task writes a file for each bucket it has rows of.
+        """
         path = f"{self.root}/{name}"
-        frame.write.mode("errorifexists").parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
+        if not by:
+            frame.write.mode("errorifexists").parquet(path)
+            return self.spark.read.schema(frame.schema).parquet(path)
+        table = f"stage_{uuid.uuid4().hex}"
+        self.tables.append(table)
+        frame.write.bucketBy(self.buckets, by).sortBy(by).option("path", path).format("parquet").saveAsTable(table)
+        return self.spark.table(table)
 
     def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *_: object) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         remove_folder(self.spark, self.root)
 
 
@@ -80,6 +97,6 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
-def inline(frame: DataFrame, name: str) -> DataFrame:
+def inline(frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Staging replacement that keeps the plan lazy."""
     return frame
