@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,13 +84,35 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of a stored run, with the rows of each result it logged."""
     log = RunLog(spark, fresh_path(spark, "audit"), TEST_RUN.run_id)
     paths = [fresh_path(spark, name) for name in ("detail", "summary")]
-    stored = stored_run(sources(spark, sf_dir), TEST_RUN, staging(spark), log, *paths)
-    rows = row_count(stored.detail).select(F.lit("detail").alias("model"), F.col("row_count").alias("n_rows"))
-    rows = rows.union(row_count(stored.summary).select(F.lit("summary"), "row_count"))
+    stored_run(sources(spark, sf_dir), TEST_RUN, staging(spark), log, *paths)
+    rows = log.counts().filter("measure = 'n_rows'").select("model", F.col("value").alias("n_rows"))
     stamped = log.rows().filter(F.col("time").isNotNull())
     return stamped.join(rows, "model").select("log_identifier", "model", "state", "n_rows")
 
 
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the writes of a stored run counted: rows, and rows without a required value."""
+    log = RunLog(spark, fresh_path(spark, "audit"), TEST_RUN.run_id)
+    paths = [fresh_path(spark, name) for name in ("detail", "summary")]
+    stored_run(sources(spark, sf_dir), TEST_RUN, staging(spark), log, *paths)
+    return log.counts().select("model", "measure", "value")
+
+
+def _extract_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract stored as a table, counted, read through its view by another session, and logged without a time."""
+    name, path = f"python_test_{uuid.uuid4().hex}", fresh_path(spark, "extract")
+
+    def build(stage: Staging) -> DataFrame:
+        run = accrual_run(sources(spark, sf_dir), TEST_RUN, stage)
+        log = RunLog(spark, fresh_path(spark, "audit"), "test")
+        extract = results.stored_extract(results.accrual_summary(run.detail, TEST_RUN), log, name, f"{name}_view", path)
+        seen = spark.newSession().table(f"{name}_view").count()
+        untimed = log.rows().filter("time IS NULL AND state = 'end'").agg(F.count(F.lit(1)).alias("untimed_rows"))
+        return untimed.select(F.lit(extract.counted).cast("long").alias("counted_before"), F.lit(seen).cast("long").alias("view_rows"), "untimed_rows")
+
+    return finished(spark, build)
+
+
 def _extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rows the extract keeps is free; how many, and that all are rows of the summary, is not."""
 
@@ -121,7 +144,9 @@ QUERIES: dict[str, Query] = {
     "mart_detail": _result(lambda run: run.detail),
     "mart_summary": _result(lambda run: results.accrual_summary(run.detail, TEST_RUN)),
     "python_model_limit": _extract,
+    "python_model_view": _extract_view,
     "audit_log": _audit,
+    "observed_counts": _observed,
 }
 
 _DAYS = ("bill_sdt", "bill_edt", "mth_sdt", "mth_edt", "service_sdt", "service_edt")
@@ -172,5 +197,15 @@ SQL: dict[str, str] = {
         FROM (SELECT 'detail' AS model, count(*) AS n_rows FROM detail UNION ALL SELECT 'summary', count(*) FROM summary),
              (VALUES ('start'), ('end')) AS states(state)"""
     ),
+    "observed_counts": with_ctes(
+        """SELECT 'detail' AS model, unnest(['n_rows', 'missing_service_id', 'missing_month_start_date', 'missing_record_type', 'missing_measure_value']) AS measure,
+                  unnest([count(*), count(*) - count(service_id), count(*) - count(month_start_date), count(*) - count(record_type), count(*) - count(measure_value)]) AS value
+        FROM detail
+        UNION ALL
+        SELECT 'summary', unnest(['n_rows', 'missing_month_start_date', 'missing_record_type', 'missing_measure_value']),
+               unnest([count(*), count(*) - count(month_start_date), count(*) - count(record_type), count(*) - count(measure_value)])
+        FROM summary"""
+    ),
+    "python_model_view": with_ctes("SELECT least(500, count(*)) AS counted_before, least(500, count(*)) AS view_rows, 1 AS untimed_rows FROM summary"),
     "python_model_limit": with_ctes("SELECT least(500, count(*)) AS kept_rows, 0 AS not_in_summary FROM summary"),
 }

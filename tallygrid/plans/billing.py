@@ -45,6 +45,10 @@ def posted_lines(src: BillingSources, accounts: DataFrame, params: RunParams, bu
     lines without an invoice; it is an inner join. With ``buckets`` the lines
     are dealt by account into so many partitions before the accounts join, and
     stay so: with accounts in as many buckets that is the only exchange by account.
+
+    Lines of other accounts or invoices are dropped by runtime Bloom filters at
+    their scan, before the first exchange, once that scan is large
+    (``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``).
     """
     invoices = (
         scd2_current(src.invoice)
@@ -64,7 +68,9 @@ def posted_lines(src: BillingSources, accounts: DataFrame, params: RunParams, bu
             "allocated_amount",
         )
     )
-    owners = accounts.select(
+    # Holds for every active account; as a filter over their scan it lets Spark build a Bloom filter of the ids.
+    serviced = accounts.filter(F.col("service_edt") >= F.lit(params.month_start))
+    owners = serviced.select(
         F.col("account_id").alias("seq_product_item_id"),
         "fuel_type",
         "market_region",

@@ -60,6 +60,12 @@ def position_graph(leaves: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return models
 
 
+def tagged(models: dict[str, DataFrame]) -> DataFrame:
+    """All models of a graph under each other, each row with its model's name. Parts they share are worked out once."""
+    rows = [frame.select(F.lit(name).alias("model"), F.col("id").cast("string").alias("id")) for name, frame in models.items()]
+    return reduce(DataFrame.union, rows)
+
+
 def example_chain(first: DataFrame) -> dict[str, DataFrame]:
     """Filters stacked on a literal relation."""
     second = first.filter(F.col("id") == 1)

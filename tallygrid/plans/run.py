@@ -12,10 +12,11 @@ from tallygrid.operators.horizons import month_horizon, trailing_horizon
 from tallygrid.operators.scd import scd2_current
 from tallygrid.operators.skew import fits_buckets
 from tallygrid.params import RunParams
-from tallygrid.plans import accounts, accruals, billing, results
+from tallygrid.plans import accounts, accruals, billing, contracts, results
 from tallygrid.session import Staging
 from tallygrid.sinks.runlog import RunLog
-from tallygrid.sinks.tables import replace_run
+from tallygrid.sinks.observed import Watch, is_missing
+from tallygrid.sinks.tables import analyze_columns, registered, replace_run
 from tallygrid.sources.tables import BillingSources
 
 Stage = Callable[..., DataFrame]
@@ -70,7 +71,7 @@ def accrual_run(src: BillingSources, params: RunParams, stage: Stage) -> Accrual
     """Build every model of a run.
 
     ``stage`` is called for the frames with several readers: active accounts,
-    posted lines, daily measures and the seasonal profile. A
+    posted lines, daily measures, the seasonal profile and the months without a bill. A
     :class:`tallygrid.session.Staging` writes them once. Without that the plan
     repeats them for each reader, which only small tests should do.
 
@@ -89,9 +90,8 @@ def accrual_run(src: BillingSources, params: RunParams, stage: Stage) -> Accrual
     unbilled = accounts.never_billed_accounts(active, billing.bill_lines(src, posted))
     actual = accruals.actuals(core, horizon, params)
     existing = accruals.existing_accruals(core, profile, horizon, params, bool(lines.buckets))
-    imputed = accruals.never_billed_accruals(
-        accounts.never_billed_months(unbilled, horizon, params), profile
-    )
+    months = stage(accounts.never_billed_months(unbilled, horizon, params), "never_billed_months")
+    imputed = accruals.never_billed_accruals(months, profile)
     detail = results.accrual_detail([actual, existing, imputed], params)
     return AccrualRun(active, posted, core, profile, unbilled, actual, existing, imputed, detail)
 
@@ -102,17 +102,35 @@ class StoredRun:
     summary: DataFrame
 
 
-def stored_run(src: BillingSources, params: RunParams, stage: Staging, log: RunLog, detail_path: str, summary_path: str) -> StoredRun:
+#: Tests of the results, counted as they are written: the columns that every row must have.
+REQUIRED = ("service_id", "month_start_date", "record_type", "measure_value")
+
+
+def stored_run(
+    src: BillingSources, params: RunParams, stage: Staging, log: RunLog, detail_path: str, summary_path: str,
+    tables: tuple[str, str] | None = None,
+) -> StoredRun:
     """A run with its tables: log rows around each result, both stored per request id, the summary read from the stored detail.
 
-    The staged frames go when the results are stored.
+    Both results are brought to their declared types first. Their rows, and the
+    rows that lack a required value, are counted as they are written and logged.
+    With ``tables`` the stored results become catalog tables of those names,
+    with statistics of their columns. The staged frames go when the results are stored.
     """
     column = "unbilled_accrual_run_audit_id"
+
+    def stored(model: str, build: Callable[[], DataFrame], path: str, name: str | None) -> DataFrame:
+        schema = contracts.schema_of_model(model)
+        tests = {f"missing_{c}": is_missing(c) for c in REQUIRED if c in schema.names}
+        watch = Watch(tests)
+        frame = log.around(model, lambda: replace_run(contracts.conformed(build(), schema), path, column, params.request_id, watch=watch), watch)
+        if name:
+            registered(frame.sparkSession, name, path, frame.schema, column)
+            analyze_columns(frame.sparkSession, name)
+        return frame
+
+    names = tables or (None, None)
     with stage:
-        detail = log.around(
-            "detail", lambda: replace_run(accrual_run(src, params, stage).detail, detail_path, column, params.request_id)
-        )
-        summary = log.around(
-            "summary", lambda: replace_run(results.accrual_summary(detail.drop("run_id"), params), summary_path, column, params.request_id)
-        )
+        detail = stored("detail", lambda: accrual_run(src, params, stage).detail, detail_path, names[0])
+        summary = stored("summary", lambda: results.accrual_summary(detail.drop("run_id"), params), summary_path, names[1])
     return StoredRun(detail, summary)

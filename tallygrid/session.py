@@ -16,12 +16,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every plan here relies on.
 
     Skewed join partitions are split even if that costs one more shuffle,
-    because a single account may own a large share of all lines.
+    because a single account may own a large share of all lines. Bloom filters
+    of accounts and invoices may hold tens of millions of ids (64 MB at most);
+    Spark adds them where the scanned side is large enough to pay for one.
     """
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "2GB")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.maxNumItems", "50000000")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.maxNumBits", str(1 << 29))
     return spark
 
 
