@@ -51,6 +51,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")  # a run has more compiled stages than the default keeps
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
