@@ -76,6 +76,19 @@ def _actuals(src: BillingSources, stage: Staging) -> DataFrame:
     return accruals.actuals(core, month_horizon(src.dim_date, TEST_RUN), TEST_RUN)
 
 
+def _monthly(src: BillingSources, stage: Staging) -> DataFrame:
+    core = staged_core(src, staged_lines(src, TEST_RUN, stage), stage)
+    return stage(accruals.monthly_core(core, TEST_RUN), "monthly_core", parts="mth_sdt")
+
+
+def _monthly_profile(src: BillingSources, stage: Staging) -> DataFrame:
+    return accruals.monthly_profile(_monthly(src, stage), trailing_horizon(src.dim_date, TEST_RUN))
+
+
+def _monthly_actuals(src: BillingSources, stage: Staging) -> DataFrame:
+    return accruals.monthly_actuals(_monthly(src, stage), month_horizon(src.dim_date, TEST_RUN))
+
+
 def _never_billed_months(src: BillingSources, stage: Staging) -> DataFrame:
     return accounts.never_billed_months(_never_billed(src, stage), month_horizon(src.dim_date, TEST_RUN), TEST_RUN)
 
@@ -139,6 +152,8 @@ QUERIES: dict[str, Query] = {
     "mart_never_billed_accounts": _staged(_never_billed),
     "mart_never_billed_months": _staged(_never_billed_months),
     "mart_actuals": _staged(_actuals),
+    "monthly_profile": _staged(_monthly_profile),
+    "monthly_actuals": _staged(_monthly_actuals),
     "mart_accrual_existing": _result(lambda run: run.existing),
     "mart_accrual_never_billed": _result(lambda run: run.imputed),
     "mart_detail": _result(lambda run: run.detail),
@@ -209,3 +224,5 @@ SQL: dict[str, str] = {
     "python_model_view": with_ctes("SELECT least(500, count(*)) AS counted_before, least(500, count(*)) AS view_rows, 1 AS untimed_rows FROM summary"),
     "python_model_limit": with_ctes("SELECT least(500, count(*)) AS kept_rows, 0 AS not_in_summary FROM summary"),
 }
+# The same rows from measures stored by month.
+SQL |= {"monthly_profile": SQL["mart_seasonal_profile"], "monthly_actuals": SQL["mart_actuals"]}

@@ -27,11 +27,26 @@ def overlap_explode(
     Work per period follows its length, not the length of the horizon, and open
     end dates cost no more than the horizon. This is the form the plans use.
     """
+    spread = months_touched(periods, months, start, end, "_month")
+    return spread.join(horizon, F.col("_month") == F.col("mth_sdt")).drop("_month")
+
+
+def months_touched(periods: DataFrame, months: MonthRange, start: Column, end: Column, name: str = "mth_sdt") -> DataFrame:
+    """A row per period and month of ``months`` that it touches, with the month's first day."""
     first = F.greatest(month_first(start), F.lit(months.first))
     last = F.least(month_first(end), F.lit(months.last))
     touched = F.when(
         start.isNotNull() & end.isNotNull() & (first <= last),
         F.sequence(first, last, F.expr("interval 1 month")),
     )
-    spread = periods.select("*", F.explode(touched).alias("_month"))
-    return spread.join(horizon, F.col("_month") == F.col("mth_sdt")).drop("_month")
+    return periods.select("*", F.explode(touched).alias(name))
+
+
+def in_horizon(monthly: DataFrame, horizon: DataFrame) -> DataFrame:
+    """Rows of :func:`months_touched` in the months of ``horizon``.
+
+    If ``monthly`` is stored in partitions by month, the horizon's months are
+    looked up at run time and only their files are read: several horizons can
+    share one stored frame, and a period counts in each month it touches.
+    """
+    return monthly.join(horizon, "mth_sdt")

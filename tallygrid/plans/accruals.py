@@ -15,11 +15,11 @@ from tallygrid.functions.measures import (
     unless_zero_rated,
 )
 from tallygrid.functions.numeric import zero_rate
-from tallygrid.operators.overlaps import overlap_explode
+from tallygrid.operators.overlaps import in_horizon, months_touched, overlap_explode
 from tallygrid.operators.profiles import segment_profile
 from tallygrid.operators.ranking import latest_by_maxima, latest_in_buckets
 from tallygrid.operators.skew import ROWS_PER_SALT, salted_join
-from tallygrid.params import RunParams
+from tallygrid.params import MonthRange, RunParams
 
 # Columns of the three accrual models, in order.
 _LEAD = (
@@ -62,6 +62,24 @@ def _guarded_money() -> dict[str, Column]:
     return {column: unless_zero_rated(F.col("solar_zr"), F.col(column)) for column in MONEY_COLUMNS}
 
 
+def monthly_core(core: DataFrame, params: RunParams) -> DataFrame:
+    """Daily measures per month that their bill touches, over both horizons of a run; to be stored by month."""
+    spans = (params.seasonal_range, params.accrual_range)
+    months = MonthRange(min(s.first for s in spans), max(s.last for s in spans))
+    return months_touched(core.filter(F.col("measure_name").isNotNull()), months, F.col("bill_sdt"), F.col("bill_edt"))
+
+
+def monthly_profile(monthly: DataFrame, horizon: DataFrame) -> DataFrame:
+    """:func:`seasonal_profile` from a stored :func:`monthly_core`, of which it reads the horizon's months."""
+    daily = monthly.drop("trans_description").withColumnRenamed("ex_charge_desc", "trans_description")
+    return segment_profile(in_horizon(daily, horizon))
+
+
+def monthly_actuals(monthly: DataFrame, horizon: DataFrame) -> DataFrame:
+    """:func:`actuals` from a stored :func:`monthly_core`, of which it reads the horizon's months."""
+    return _measured_actuals(in_horizon(monthly, horizon))
+
+
 def seasonal_profile(core: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame:
     """Averages of daily values per segment, charge and month of the trailing horizon."""
     daily = core.filter(F.col("measure_name").isNotNull()).drop("trans_description")
@@ -84,6 +102,10 @@ def actuals(core: DataFrame, horizon: DataFrame, params: RunParams) -> DataFrame
         F.col("bill_sdt"),
         F.col("bill_edt"),
     )
+    return _measured_actuals(billed)
+
+
+def _measured_actuals(billed: DataFrame) -> DataFrame:
     days = overlap_days(*(F.col(c) for c in ("mth_sdt", "mth_edt", "bill_sdt", "bill_edt")))
     volume = daily_volume(F.col("solar_zr"), F.col("daily_unit_quantity"), F.col("daily_unit_quantity_zr"))
     measured = billed.withColumn("total_days", days).withColumn(

@@ -71,15 +71,19 @@ class Staging:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.tables: list[str] = []
 
-    def __call__(self, frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
-        """The stored frame. With ``by`` it lies in sorted buckets of that column.
+    def __call__(self, frame: DataFrame, name: str, by: str | None = None, parts: str | None = None) -> DataFrame:
+        """The stored frame. With ``by`` it lies in sorted buckets of that column, with ``parts`` in a folder per value.
 
         Joins, windows and aggregates whose keys include the bucket column then
         need no exchange of it. The frame should come dealt by ``by`` into
         ``buckets`` partitions, which gives each bucket one file; otherwise
-        every task writes a file for each bucket it has rows of.
+        every task writes a file for each bucket it has rows of. Folders are
+        filled by tasks of even size: small values share one, large ones have several.
         """
         path = f"{self.root}/{name}"
+        if parts:
+            frame.hint("rebalance", parts).write.mode("errorifexists").partitionBy(parts).parquet(path)
+            return self.spark.read.schema(frame.schema).parquet(path)
         if not by:
             frame.write.mode("errorifexists").parquet(path)
             return self.spark.read.schema(frame.schema).parquet(path)
@@ -103,6 +107,6 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
-def inline(frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def inline(frame: DataFrame, name: str, by: str | None = None, parts: str | None = None) -> DataFrame:
     """Staging replacement that keeps the plan lazy."""
     return frame

@@ -161,6 +161,49 @@ def test_profile_counts_equal_distinct_counts(spark):
     assert bag(got, [*SEGMENT, *CHARGE, "mth_no", "a", "r", *[f"m_{c}" for c in AVERAGED]]) == want
 
 
+# partitions by month
+
+
+def test_horizons_prune_months_at_run_time(spark, src, staged):
+    lines, core = staged
+    stage = Staging(spark, fresh_path(spark, "stage"))
+    monthly = stage(accruals.monthly_core(core, TEST_RUN), "monthly_core", parts="mth_sdt")
+    season, horizon = trailing_horizon(src.dim_date, TEST_RUN), month_horizon(src.dim_date, TEST_RUN)
+    profile, actual = accruals.monthly_profile(monthly, season), accruals.monthly_actuals(monthly, horizon)
+    crossing = monthly.filter("trunc(bill_sdt, 'MM') < mth_sdt AND trunc(bill_edt, 'MM') > mth_sdt")
+    assert not crossing.isEmpty()  # bills that reach over a whole month
+    for frame, months in ((profile, 24), (actual, 12)):
+        assert "dynamicpruning" in frame._jdf.queryExecution().optimizedPlan().toString()
+        assert partitions_read(frame) <= months < monthly.select("mth_sdt").distinct().count() + 1
+    assert partitions_read(actual) < monthly.select("mth_sdt").distinct().count()
+    assert bag(profile) == bag(accruals.seasonal_profile(core, season, TEST_RUN))
+    assert bag(actual) == bag(accruals.actuals(core, horizon, TEST_RUN))
+
+
+def partitions_read(frame) -> int:
+    """Partitions of the stored frame that an executed plan has read."""
+    return max(metric_values(frame, "numPartitions"))
+
+
+def metric_values(frame, name: str) -> list[int]:
+    """Values of a metric over all operators of an executed frame."""
+    frame.collect()
+
+    def values(node) -> list[int]:
+        children, own = node.children(), []
+        if node.metrics().contains(name):
+            own.append(node.metrics().apply(name).value())
+        inner = [children.apply(i) for i in range(children.size())]
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            inner = [node.executedPlan()]
+        elif kind.endswith("QueryStageExec"):
+            inner = [node.plan()]
+        return own + [v for child in inner for v in values(child)]
+
+    return values(frame._jdf.queryExecution().executedPlan())
+
+
 # bitmaps
 
 
@@ -185,22 +228,7 @@ def test_bitmaps_of_texts_read_the_rows_once(spark):
 
 def exchange_rows(frame) -> int:
     """Rows written to all exchanges of an executed frame."""
-    frame.collect()
-
-    def rows(node) -> int:
-        metrics, total = node.metrics(), 0
-        if metrics.contains("shuffleRecordsWritten"):
-            total += metrics.apply("shuffleRecordsWritten").value()
-        children = node.children()
-        inner = [children.apply(i) for i in range(children.size())]
-        name = node.getClass().getSimpleName()
-        if name == "AdaptiveSparkPlanExec":
-            inner = [node.executedPlan()]
-        elif name.endswith("QueryStageExec"):
-            inner = [node.plan()]
-        return total + sum(map(rows, inner))
-
-    return rows(frame._jdf.queryExecution().executedPlan())
+    return sum(metric_values(frame, "shuffleRecordsWritten"))
 
 
 def test_bloom_filters_reach_the_line_scan(spark, src, tmp_path, conf):

@@ -1,8 +1,12 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import subprocess
+import sys
+
 import pytest
 from compare import connect, differences
 
+from conftest import ROOT
 from tallygrid.checks import catalog
 
 
@@ -20,6 +24,13 @@ def test_every_query_has_sql():
     assert set(catalog.QUERIES) == set(catalog.SQL)
 
 
+@pytest.mark.parametrize("missing", ["zstandard", "public_tokenizers", "tallygrid.llm"])
+def test_entry_outlives_what_only_llm_needs(missing):
+    script = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), 'op1_toxicity' in e.queries())"
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, cwd=ROOT, timeout=120)
+    assert out.stdout.split() == [str(len(catalog.QUERIES)), "False"] and "left out" in out.stderr
+
+
 def test_entry_has_the_detail_columns(spark):
     import __spark_entry__ as entry
 
