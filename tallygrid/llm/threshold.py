@@ -26,8 +26,8 @@ from tallygrid.llm.common import written
 
 #: Fixed by the task: every EVERY-th id is a query, with MOST answers.
 EVERY, MOST = 50, 5
-#: Lists of a vector, and queries whose lists are made together.
-SLICES, TOGETHER = 4, 128
+#: Lists of a vector (with few the cutoff of a list is high), and queries whose lists are made together.
+SLICES, TOGETHER = 2, 128
 
 
 class Lists:
