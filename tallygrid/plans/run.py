@@ -15,7 +15,7 @@ from tallygrid.params import RunParams
 from tallygrid.plans import accounts, accruals, billing, contracts, results
 from tallygrid.session import Staging
 from tallygrid.sinks.runlog import RunLog
-from tallygrid.sinks.observed import Watch, is_missing
+from tallygrid.sinks.observed import Watch, is_missing, refused
 from tallygrid.sinks.tables import analyze_columns, registered, replace_run
 from tallygrid.sources.tables import BillingSources
 
@@ -102,28 +102,48 @@ class StoredRun:
     summary: DataFrame
 
 
+class LoggedStage:
+    """A stage that logs each frame it writes, with its rows as the write counted them."""
+
+    def __init__(self, stage: Staging, log: RunLog) -> None:
+        self.stage, self.log, self.buckets = stage, log, stage.buckets
+
+    def __call__(self, frame: DataFrame, name: str, *args: str | None, **options: str | None) -> DataFrame:
+        watch = Watch()
+        return self.log.around(name, lambda: self.stage(watch(frame), name, *args, **options), watch)
+
+
 #: Tests of the results, counted as they are written: the columns that every row must have.
 REQUIRED = ("service_id", "month_start_date", "record_type", "measure_value")
 
 
 def stored_run(
     src: BillingSources, params: RunParams, stage: Staging, log: RunLog, detail_path: str, summary_path: str,
-    tables: tuple[str, str] | None = None,
+    tables: tuple[str, str] | None = None, strict: bool = False,
 ) -> StoredRun:
-    """A run with its tables: log rows around each result, both stored per request id, the summary read from the stored detail.
-
-    Both results are brought to their declared types first. Their rows, and the
-    rows that lack a required value, are counted as they are written and logged.
-    With ``tables`` the stored results become catalog tables of those names,
-    with statistics of their columns. The staged frames go when the results are stored.
+    """A run with its tables: log rows around each model that is written, the results stored per request id, the summary read from the stored detail.
+
+    Both results are brought to their declared types first. The rows of every
+    written model, and the results' rows that lack a required value, are counted
+    by the write and logged. If ``strict``, such a row makes the write fail, and
+    the stored run stays as it was. With ``tables`` the stored results become
+    catalog tables of those names, with statistics of their columns. The staged
+    frames go when the results are stored.
     """
     column = "unbilled_accrual_run_audit_id"
 
     def stored(model: str, build: Callable[[], DataFrame], path: str, name: str | None) -> DataFrame:
         schema = contracts.schema_of_model(model)
-        tests = {f"missing_{c}": is_missing(c) for c in REQUIRED if c in schema.names}
-        watch = Watch(tests)
-        frame = log.around(model, lambda: replace_run(contracts.conformed(build(), schema), path, column, params.request_id, watch=watch), watch)
+        required = [c for c in REQUIRED if c in schema.names]
+        watch = Watch({f"missing_{c}": is_missing(c) for c in required})
+
+        def write() -> DataFrame:
+            result = contracts.conformed(build(), schema)
+            for c in required if strict else []:
+                result = refused(result, is_missing(c), f"{model}: {c} is missing", c)
+            return replace_run(result, path, column, params.request_id, watch=watch)
+
+        frame = log.around(model, write, watch)
         if name:
             registered(frame.sparkSession, name, path, frame.schema, column)
             analyze_columns(frame.sparkSession, name)
@@ -131,6 +151,6 @@ def stored_run(
 
     names = tables or (None, None)
     with stage:
-        detail = stored("detail", lambda: accrual_run(src, params, stage).detail, detail_path, names[0])
+        detail = stored("detail", lambda: accrual_run(src, params, LoggedStage(stage, log)).detail, detail_path, names[0])
         summary = stored("summary", lambda: results.accrual_summary(detail.drop("run_id"), params), summary_path, names[1])
     return StoredRun(detail, summary)

@@ -377,6 +377,21 @@ def test_statistics_change_the_join_order(spark, tmp_path, conf):
     assert before[:2] == ["lines_s", "wide_s"] and set(after[:2]) == {"lines_s", "few_s"} or set(after[1:]) == {"lines_s", "few_s"}
 
 
+def test_a_strict_run_keeps_the_stored_one(spark, src, tmp_path, monkeypatch):
+    log, paths = RunLog(spark, f"{tmp_path}/log", TEST_RUN.run_id), (f"{tmp_path}/detail", f"{tmp_path}/summary")
+    make = lambda strict: runs.stored_run(src, TEST_RUN, Staging(spark, fresh_path(spark, "stage")), log, *paths, strict=strict)
+    stored = bag(make(True).detail)
+    whole = results.accrual_detail
+    holes = F.when(F.col("service_id") % 50 > 0, F.col("service_id"))
+    monkeypatch.setattr(results, "accrual_detail", lambda parts, params: whole(parts, params).withColumn("service_id", holes))
+    with pytest.raises(Exception, match="service_id is missing"):
+        make(True)
+    assert bag(spark.read.schema(contracts.schema_of_model("detail")).parquet(paths[0])) == stored
+    assert ("detail", "error") in {(r.model, r.state) for r in log.rows().collect()}
+    make(False)
+    assert log.counts().filter("measure = 'missing_service_id' AND value > 0").count() == 1
+
+
 # declared types
 
 

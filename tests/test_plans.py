@@ -100,7 +100,10 @@ def test_stored_run(spark, src, run, tmp_path):
     columns = sorted(run.detail.columns)
     assert bag(stored.detail.select(*columns)) == bag(run.detail.select(*columns))
     assert stored.summary.count() == results.accrual_summary(run.detail, TEST_RUN).count()
-    assert {(r.model, r.state) for r in log.rows().collect()} == {(m, s) for m in ("detail", "summary") for s in ("start", "end")}
+    written = ("active_accounts", "posted_lines", "invoice_core", "seasonal_profile", "never_billed_months", "detail", "summary")
+    assert {(r.model, r.state) for r in log.rows().collect()} == {(m, s) for m in written for s in ("start", "end")}
+    counted = {r.model: r.value for r in log.counts().filter("measure = 'n_rows'").collect()}
+    assert counted["detail"] == stored.detail.count() and counted["invoice_core"] == run.core.count()
     assert not os.path.exists(stage.root.removeprefix("file:"))
 
 
