@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,10 +98,10 @@ def trained(training: DataFrame, vocabulary: Vocabulary, model: Attention, windo
     """
     context, times = training.sparkSession.sparkContext, max(1, -(-STEPS * BATCH // windows))
     for number in range(ROUNDS):
-        held = context.broadcast((vocabulary, model))  # bounded by IDS, RARE_KEPT
+        held = context.broadcast(cloudpickle.dumps((vocabulary, model)))  # bounded by IDS, RARE_KEPT; by value, as executors lack the package
 
         def learn(frames, held=held, number=number):
-            vocabulary, start = held.value
+            vocabulary, start = cloudpickle.loads(held.value)
             trainer = Trainer(start, RATE * (1 - 0.9 * number / ROUNDS))
             for frame in frames:
                 texts = [raw(t) for t in frame["text"]]
@@ -143,11 +143,12 @@ def scores(docs: DataFrame) -> DataFrame:
     head, head_counts = _top(counts, WORDS, HEAD)
     order = np.argsort(head)
     vocabulary, model = fit(training, counts, totals)
-    shared = docs.sparkSession.sparkContext.broadcast((head[order], np.log10(head_counts[order] + 1.0), vocabulary, model))  # bounded by HEAD, IDS, RARE_KEPT
+    state = cloudpickle.dumps((head[order], np.log10(head_counts[order] + 1.0), vocabulary, model))
+    shared = docs.sparkSession.sparkContext.broadcast(state)  # bounded by HEAD, IDS, RARE_KEPT
     end_log = float(np.log10(texts + 1.0))
 
     def run(frames):
-        head, head_logs, vocabulary, model = shared.value
+        head, head_logs, vocabulary, model = cloudpickle.loads(shared.value)
         hasher, part, at = SpanHasher(), TaskContext.get().partitionId(), 0
         for frame in frames:
             texts = [raw(t) for t in frame["text"]]
