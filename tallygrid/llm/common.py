@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +33,43 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Folders that the stages of a pipeline wrote for themselves, and whether one is being built.
+_kept: list[str] = []
+_keeping = False
+
+
+def stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage of a pipeline, whose predecessor's result is stored when it starts.
+
+    So what earlier stages staged for themselves goes first, but for folders
+    that ``docs`` still reads, and with it shuffle files that no frame needs.
+    """
+
+    @functools.wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _keeping
+        read = "\n".join(docs.inputFiles()) if _kept else ""
+        for path in [p for p in _kept if p.rsplit("/", 1)[1] not in read]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+            _kept.remove(path)
+        gc.collect()
+        spark._jvm.System.gc()  # lets the cleaner see which shuffles are out of use
+        _keeping = True
+        try:
+            return work(spark, docs, sf_dir)
+        finally:
+            _keeping = False
+
+    return run
+
+
 def written(frame: DataFrame) -> DataFrame:
     """The frame, written once to the shared folder and read from there: a cut in the lineage that survives lost executors."""
     spark = frame.sparkSession
     path = shared_folder(spark)
+    if _keeping:
+        _kept.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
