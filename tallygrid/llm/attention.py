@@ -6,89 +6,81 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-from tallygrid.llm.textnum import lowered, word_spans
-
 #: Ids of a context window, and those of its start that only give context (they were scored in the window before).
 WINDOW, OVERLAP = 48, 12
 #: Width of the model, and the two levels of its output: GROUPS groups of GROUPS ids.
 WIDTH, GROUPS = 16, 64
-#: Id of the start of a text, of its end, and of all subwords without an id of their own.
+#: Id of the start of a text, of its end, and of all beginnings without an id of their own.
 START, END, RARE, FIRST = 0, 1, 2, 3
 IDS = GROUPS * GROUPS
-#: A subword: three bytes of a lower-cased word, or its last one to three. The end of a text is a subword too.
-SPACE_OF_PIECES = 1 << 25
-END_PIECE = 1 << 25
-
-
-def pieces(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The subwords of all texts in a row, each text with END_PIECE behind it, and where each text begins (one more entry than texts)."""
-    joined = b"\n".join(texts)
-    data = np.concatenate([lowered(joined), np.zeros(3, dtype=np.uint8)])
-    starts, ends = word_spans(data[:-3])
-    counts = (ends - starts + 2) // 3
-    offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
-    firsts = np.concatenate([[0], np.cumsum(counts)])
-    place = np.repeat(starts - 3 * firsts[:-1], counts) + 3 * np.arange(firsts[-1])
-    left = np.repeat(ends, counts) - place
-    b = [np.where(left > i, data[place + i], 0).astype(np.int64) for i in range(3)]
-    own = (b[0] << 16) | (b[1] << 8) | b[2] | ((left <= 3).astype(np.int64) << 24)
-    cuts = np.searchsorted(starts, offsets)
-    cuts[-1] = len(starts)
-    begins = firsts[cuts] + np.arange(len(cuts))  # an end lies between two texts
-    out = np.full(firsts[-1] + len(texts), END_PIECE, dtype=np.int64)
-    inside = np.ones(len(out), dtype=bool)
-    inside[begins[1:] - 1] = False
-    out[inside] = own
-    return out, begins
+#: Subwords with an id: common words whole, and three-byte beginnings of the other words.
+BEGINNINGS = 1024
+COMMON = IDS - FIRST - BEGINNINGS
+
+
+def beginnings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The first three bytes of each word, zeros behind shorter ones. ``data`` goes on for two bytes behind the last word."""
+    size = ends - starts
+    out = data[starts].astype(np.int64) << 16
+    out |= np.where(size > 1, data[starts + 1], 0).astype(np.int64) << 8
+    return out | np.where(size > 2, data[starts + 2], 0)
 
 
 @dataclass
 class Vocabulary:
-    """Subwords with an id of their own, by falling count, and the chances of the others.
+    """Ids of common words and of other words' beginnings, and the chances of the rests of words.
 
-    A rare subword's chance within RARE is its share of the rare ones; what
-    never occurs shares one part more, evenly over all subwords. Of the rare
-    ones only the commonest are held here; the caller looks up the others.
+    A word that isn't common is two subwords: its beginning, which has an id
+    (RARE if it has none of its own), and its rest, whose chance is the word's
+    share of the training words of that id, by ``totals``. Words that never
+    occur share ``unseen`` of it, as many as occur once and one more, and are spelled:
+    ``spelling`` has the log chance of a byte behind another, 0 being the end.
     """
 
-    keys: np.ndarray  # sorted
-    ids: np.ndarray
-    rare_keys: np.ndarray  # sorted
-    rare_logs: np.ndarray
-    unseen_log: float
+    words: np.ndarray  # sorted hashes
+    word_ids: np.ndarray
+    begins: np.ndarray  # sorted
+    begin_ids: np.ndarray
     counts: np.ndarray  # by id
-    rare_total: float = 1.0  # of all rare subwords, held or not, and the part more
+    totals: np.ndarray  # by id, the unseen with it
+    unseen: np.ndarray  # by id
+    discount: float
+    spelling: tuple[np.ndarray, np.ndarray]
 
     @staticmethod
-    def of(keys: np.ndarray, counts: np.ndarray, ends: int, rest: int) -> Vocabulary:
-        """``keys`` by falling count; ``rest``: occurrences of subwords that are not among them."""
-        own = np.sort(keys[: IDS - FIRST])  # neighbours in spelling share a group
-        by_key = dict(zip(keys.tolist(), counts.tolist(), strict=True))
-        rare, n = keys[IDS - FIRST :], counts[IDS - FIRST :]
-        order = np.argsort(rare)
-        total = float(n.sum()) + rest + 1
-        counted = np.zeros(IDS)
-        counted[FIRST : FIRST + len(own)] = [by_key[k] for k in own.tolist()]
-        counted[END], counted[RARE] = ends, n.sum() + rest
-        return Vocabulary(own, np.arange(FIRST, FIRST + len(own)), rare[order], np.log(n[order] / total), float(np.log(1 / total / SPACE_OF_PIECES)), counted, total)
-
-    def encode(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, the log chance of each subword within its id, and the places of rare ones that aren't held, which get that of an unseen one."""
-        ids = np.full(len(found), RARE, dtype=np.int64)
-        logs = np.zeros(len(found))
-        ids[found == END_PIECE] = END
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
-            hit = self.keys[at] == found
-            ids[hit] = self.ids[at[hit]]
-        rare = np.flatnonzero(ids == RARE)
-        logs[rare] = self.unseen_log
-        if len(self.rare_keys) and len(rare):
-            at = np.minimum(np.searchsorted(self.rare_keys, found[rare]), len(self.rare_keys) - 1)
-            hit = self.rare_keys[at] == found[rare]
-            logs[rare[hit]] = self.rare_logs[at[hit]]
-            rare = rare[~hit]
-        return ids, logs, rare
+    def of(words: list[tuple[int, int]], begins: list[tuple[int, int, int]], rest: tuple[int, int], ends: int, discount: float, spelling: tuple[np.ndarray, np.ndarray]) -> Vocabulary:
+        """From (hash, n) of common words and (beginning, n, kinds) of others, both by falling n, and n and kinds of words with further beginnings."""
+        counts, totals, unseen = np.zeros(IDS), np.ones(IDS), np.ones(IDS)
+        counts[END] = ends
+        at = FIRST
+        for i, n, kinds in [(RARE, *rest), *((at + k, n, kinds) for k, (_, n, kinds) in enumerate(begins))]:
+            counts[i], unseen[i], totals[i] = n, discount * kinds + 1, n + 1
+        at += len(begins)
+        counts[at : at + len(words)] = [n for _, n in words]
+        # Ids of a group are alike in frequency.
+        rank = np.arange(IDS)
+        rank[FIRST:] = FIRST + np.argsort(np.argsort(-counts[FIRST:], kind="stable"), kind="stable")
+        moved = lambda x: x[np.argsort(rank)]
+        word, begin = np.array([w for w, _ in words], dtype=np.int64), np.array([b for b, *_ in begins], dtype=np.int64)
+        by_word, by_begin = np.argsort(word), np.argsort(begin)
+        own = word[by_word], rank[at + by_word], begin[by_begin], rank[FIRST + by_begin]
+        return Vocabulary(*own, moved(counts), moved(totals), moved(unseen), discount, spelling)
+
+    def encode(self, hashes: np.ndarray, starts_with: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The id of each word, and the places of those that aren't common."""
+        ids = np.full(len(hashes), RARE, dtype=np.int64)
+        common = np.zeros(len(hashes), dtype=bool)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+            common = self.words[at] == hashes
+            ids[common] = self.word_ids[at[common]]
+        others = np.flatnonzero(~common)
+        if len(self.begins):
+            wanted = starts_with[others]
+            at = np.minimum(np.searchsorted(self.begins, wanted), len(self.begins) - 1)
+            hit = self.begins[at] == wanted
+            ids[others[hit]] = self.begin_ids[at[hit]]
+        return ids, others
 
 
 def windows(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,15 +268,14 @@ class Trainer:
         self.square = {k: np.zeros_like(v) for k, v in start.weights.items()}
         self.steps = self.windows = 0
 
-    def learn(self, ids: np.ndarray, begins: np.ndarray, share: int, shares: int, times: int, batch: int) -> None:
-        """Every window whose number is ``share`` modulo ``shares``, each so many times."""
+    def learn(self, ids: np.ndarray, begins: np.ndarray, share: int, shares: int, batch: int) -> None:
+        """Every window whose number is ``share`` modulo ``shares``."""
         firsts, sizes, context = (x[share::shares] for x in windows(begins))
         self.windows += len(firsts)
-        for _ in range(times if len(firsts) else 0):
-            order = self.rng.permutation(len(firsts))
-            for a in range(0, len(order), batch):
-                chosen = order[a : a + batch]
-                self._step(*window_arrays(ids, firsts[chosen], sizes[chosen], context[chosen]))
+        order = self.rng.permutation(len(firsts))
+        for a in range(0, len(order), batch):
+            chosen = order[a : a + batch]
+            self._step(*window_arrays(ids, firsts[chosen], sizes[chosen], context[chosen]))
 
     def _step(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> None:
         _, g = self.model.step(x, y, used)

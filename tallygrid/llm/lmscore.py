@@ -1,10 +1,12 @@
 """Language-model scores of whole texts, beside an add-one unigram score of their words.
 
-Word and subword counts come from all training texts, and so do the weights of
-the attention model: in each round every task learns from its share of all
-training windows, and the moves of the weights are summed over the tasks by
-windows. The model's output for rare subwords uses the counts. Each text is cut
-into overlapping windows that score every subword once.
+Word counts come from all training texts, and so do the weights of the attention
+model: common words and the beginnings of others are its subwords. Training
+texts are cut into ids once and dealt by hash; in each round every deal learns
+from its share of all training windows, and the moves of the weights are summed
+by windows as whole numbers, in any order. The rests of words have their share
+of the counts. Each text is cut into overlapping windows that score every
+subword once.
 """
 
 from __future__ import annotations
@@ -15,19 +17,34 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.attention import END_PIECE, FIRST, IDS, OVERLAP, WINDOW, Attention, Trainer, Vocabulary, pieces
+from tallygrid.llm.attention import BEGINNINGS, COMMON, END, IDS, Attention, Trainer, Vocabulary, beginnings
 from tallygrid.llm.common import commonest, remainder, written
 from tallygrid.llm.textnum import SpanHasher, lowered, raw, word_spans
 
 #: Fixed by the task.
 HELD_OUT, FOLDS = 2, 7
-#: Words and rare subwords whose counts are sent to all tasks; the others are joined.
-HEAD, RARE_KEPT = 1 << 17, 1 << 16
-#: Rounds that together use every training window, windows of a step, first rate. A corpus of fewer windows than STEPS steps have uses each several times.
-ROUNDS, BATCH, RATE, STEPS = 4, 64, 0.01, 1500
-#: Weights that are summed in one row.
-BLOCK = 1024
-WORDS, PIECES, TEXTS = 0, 1, 2
+#: Words whose counts are sent to all tasks, COMMON at least; the others are joined.
+HEAD = 1 << 17
+#: Rounds that together use every training window once, windows of a step, first rate.
+ROUNDS, BATCH, RATE = 2, 128, 0.02
+#: Ids dealt to one task of a round, ids of a row, steps of a weight's move that are counted.
+DEAL, ROW_IDS, FINE = 1 << 22, 1 << 13, float(1 << 40)
+WORDS, TRIPLES, BYTES, TEXTS = 0, 1, 2, 3
+LONG = 4
+
+
+def _classes() -> np.ndarray:
+    """Of each byte: 0 white space, letters, second bytes of characters by five bits, and four of others."""
+    out = np.full(256, 63, dtype=np.int32)
+    out[[32, *range(9, 14)]] = 0
+    out[97:123] = np.arange(1, 27)
+    out[128:192] = 28 + (np.arange(64) & 31)
+    out[192:], out[0xC3], out[48:58] = 60, 27, 61
+    out[33:48] = 62
+    return out
+
+
+CLASSES, _CLASSES = 64, _classes()
 
 
 def _chunks(texts: list[bytes], size: int):
@@ -39,88 +56,152 @@ def _chunks(texts: list[bytes], size: int):
             at, held = i + 1, 0
 
 
-def word_hashes(texts: list[bytes], hasher: SpanHasher) -> tuple[np.ndarray, np.ndarray]:
-    """63-bit hashes of the lower-cased words of all texts, and where each text's begin (one more entry than texts)."""
-    data = lowered(b"\n".join(texts))
-    starts, ends = word_spans(data)
-    cuts = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts]))
-    cuts[-1] = len(starts)
-    return (hasher(data, starts, ends) >> np.uint64(1)).astype(np.int64), cuts
+class Words:
+    """The lower-cased words of some texts: hashes, beginnings, and where each text's begin (one more entry than texts)."""
+
+    def __init__(self, texts: list[bytes], hasher: SpanHasher) -> None:
+        self.data = np.concatenate([lowered(b"\n".join(texts)), np.full(3, 10, dtype=np.uint8)])
+        self.starts, self.ends = word_spans(self.data)
+        self.cuts = np.searchsorted(self.starts, np.cumsum([0] + [len(t) + 1 for t in texts]))
+        self.cuts[-1] = len(self.starts)
+        self.hashes = (hasher(self.data, self.starts, self.ends) >> np.uint64(1)).astype(np.int64)
+        self.begins = beginnings(self.data, self.starts, self.ends)
+
+    def triples(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per byte the classes of the two before it and its own as one number, and the byte itself; white space is 0."""
+        now = _CLASSES[self.data]
+        one, two = np.concatenate([[0], now[:-1]]), np.concatenate([[0, 0], now[:-2]])
+        one_back = np.where(one == 0, 0, two)  # what lies before a word's first letter doesn't count
+        return (one_back * CLASSES + one) * CLASSES + now, np.where(now == 0, 0, self.data)
+
+    def spelled(self, of: np.ndarray) -> np.ndarray:
+        """Places of the bytes of some words, each word with the white space behind it."""
+        sizes = self.ends[of] - self.starts[of] + 1
+        return np.repeat(self.starts[of] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+    def with_ends(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids with END behind each text, where each text begins, and the places of the words."""
+        begins = self.cuts + np.arange(len(self.cuts))
+        out = np.full(len(ids) + len(self.cuts) - 1, END, dtype=np.int64)
+        places = np.arange(len(ids)) + np.repeat(np.arange(len(self.cuts) - 1), np.diff(self.cuts))
+        out[places] = ids
+        return out, begins, places
 
 
 def corpus_counts(training: DataFrame) -> DataFrame:
-    """(kind, key, n): occurrences of each word (by hash) and subword, and the number of texts."""
+    """(kind, key, begins, n): occurrences of each word (by hash, with its beginning), the number of texts, and occurrences
+    of byte classes in threes and of bytes in words of LONG bytes or more, as words that are not known are seldom short."""
 
     def run(frames):
         hasher = SpanHasher()
         for frame in frames:
             texts = [raw(t) for t in frame["text"]]
-            words, parts = [], []
-            for a, b in _chunks(texts, 1 << 21):
-                words.append(word_hashes(texts[a:b], hasher)[0])
-                found = pieces(texts[a:b])[0]
-                own, n = np.unique(found[found != END_PIECE], return_counts=True)
-                parts.append(pd.DataFrame({"kind": PIECES, "key": own, "n": n}))
-            if not texts:
-                continue
-            keys = np.sort(np.concatenate(words))
-            heads = np.flatnonzero(np.diff(keys, prepend=-1))
-            parts.append(pd.DataFrame({"kind": WORDS, "key": keys[heads], "n": np.diff(np.append(heads, len(keys)))}))
-            parts.append(pd.DataFrame({"kind": [TEXTS], "key": [0], "n": [len(texts)]}))
-            yield pd.concat(parts)
+            threes, ones = np.zeros(CLASSES**3, dtype=np.int64), np.zeros(256, dtype=np.int64)
+            for a, b in _chunks(texts, 1 << 22):
+                words = Words(texts[a:b], hasher)
+                keys, at, n = np.unique(words.hashes, return_index=True, return_counts=True)
+                triples, own = words.triples()
+                places = words.spelled(np.flatnonzero(words.ends - words.starts >= LONG))
+                threes += np.bincount(triples[places], minlength=CLASSES**3)
+                ones += np.bincount(own[places], minlength=256)
+                yield pd.DataFrame({"kind": WORDS, "key": keys, "begins": words.begins[at], "n": n})
+            for kind, counted in ((TRIPLES, threes), (BYTES, ones)):
+                used = np.flatnonzero(counted)
+                yield pd.DataFrame({"kind": kind, "key": used, "begins": 0, "n": counted[used]})
+            if texts:
+                yield pd.DataFrame({"kind": [TEXTS], "key": [0], "begins": [0], "n": [len(texts)]})
+
+    found = training.select("text").mapInPandas(run, "kind int, key long, begins long, n long")
+    return found.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.min("begins").alias("begins"))
 
-    return training.select("text").mapInPandas(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
+def vocabulary_of(counts: DataFrame, texts: int) -> Vocabulary:
+    words = counts.where(F.col("kind") == WORDS)
+    common = commonest(words, COMMON)
+    held = counts.sparkSession.createDataFrame([(k,) for k, _ in common], "key long")  # at most COMMON rows
+    others = words.join(F.broadcast(held), "key", "left_anti")
+    by_begin = written(others.groupBy(F.col("begins").alias("key")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
+    chosen = {k: n for k, n in commonest(by_begin, BEGINNINGS)}
+    rows = by_begin.where(F.col("key").isin(list(chosen))).collect() if chosen else []  # at most BEGINNINGS rows
+    begins = sorted(((r["key"], r["n"], r["kinds"]) for r in rows), key=lambda r: (-r[1], r[0]))
+    whole = by_begin.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds")).first()
+    rest = whole["n"] - sum(n for _, n, _ in begins), whole["kinds"] - sum(k for *_, k in begins)
+    once, twice = others.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+    discount = min(0.95, once / (once + 2 * twice)) if once else 0.5
+    threes, ones = np.zeros(CLASSES**3), np.zeros(256)
+    for r in counts.where(F.col("kind").isin(TRIPLES, BYTES)).select("kind", "key", "n").collect():  # at most CLASSES ** 3 + 256 rows
+        (threes if r["kind"] == TRIPLES else ones)[r["key"]] = r["n"]
+    return Vocabulary.of(common, begins, rest, texts, discount, spelling_of(threes, ones))
 
-def _top(counts: DataFrame, kind: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The commonest keys of a kind and their counts, at most ``most``."""
-    rows = commonest(counts.where(F.col("kind") == kind), most)
-    return np.array([k for k, _ in rows], dtype=np.int64), np.array([n for _, n in rows], dtype=np.int64)
+
+def spelling_of(threes: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log chances of classes behind two others, drawn towards those behind one, and of bytes within their class."""
+    threes = threes.reshape(CLASSES, CLASSES, CLASSES)
+    twos = threes.sum(axis=0) + 1 / CLASSES
+    behind_one = twos / twos.sum(axis=1, keepdims=True)
+    behind_two = (threes + 4 * behind_one) / (threes.sum(axis=2, keepdims=True) + 4)
+    ones = ones + 1
+    return np.log(behind_two).ravel(), np.log(ones / np.bincount(_CLASSES, ones, CLASSES)[_CLASSES])
 
 
 def fit(training: DataFrame, counts: DataFrame, totals: dict[int, tuple[int, int]]) -> tuple[Vocabulary, Attention]:
-    keys, n = _top(counts, PIECES, IDS - FIRST + RARE_KEPT)
-    rest = totals.get(PIECES, (0, 0))[0] - int(n.sum())
-    vocabulary = Vocabulary.of(keys, n, totals.get(TEXTS, (0, 0))[0], rest)
-    model = Attention.fresh(vocabulary.counts)
     texts = totals.get(TEXTS, (0, 0))[0]
-    if texts:
-        model = trained(training, vocabulary, model, totals.get(PIECES, (0, 0))[0] // (WINDOW - OVERLAP) + texts)
-    return vocabulary, model
+    vocabulary = vocabulary_of(counts, texts)
+    model = Attention.fresh(vocabulary.counts)
+    return vocabulary, trained(training, vocabulary, model, totals.get(WORDS, (0, 0))[0] + texts) if texts else model
+
 
+def encoded(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, at, ids): the ids of all training texts as 16-bit numbers, long texts in several rows."""
+    held = training.sparkSession.sparkContext.broadcast(cloudpickle.dumps(vocabulary))
 
-def trained(training: DataFrame, vocabulary: Vocabulary, model: Attention, windows: int) -> Attention:
-    """The model after ROUNDS rounds over all training windows, of which there are about ``windows``.
+    def run(frames):
+        vocabulary, hasher = cloudpickle.loads(held.value), SpanHasher()
+        for frame in frames:
+            texts = [raw(t) for t in frame["text"]]
+            for a, b in _chunks(texts, 1 << 20):
+                words = Words(texts[a:b], hasher)
+                ids, begins, _ = words.with_ends(vocabulary.encode(words.hashes, words.begins)[0])
+                small, rows = ids.astype(np.uint16), []
+                for name, x, y in zip(frame["doc_id"].iloc[a:b].astype("Int64"), begins, begins[1:], strict=False):
+                    rows += [(name, at, small[x + at : min(x + at + ROW_IDS, y)].tobytes()) for at in range(0, y - x, ROW_IDS)]
+                out = pd.DataFrame(rows, columns=["doc_id", "at", "ids"])
+                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
-    Each task starts a round from the same weights and passes on how far it
-    moved them, times its windows; only the weights are broadcast, and only
-    their summed moves come back.
+    return training.select("doc_id", "text").mapInPandas(run, "doc_id long, at int, ids binary")
+
+
+def trained(training: DataFrame, vocabulary: Vocabulary, model: Attention, tokens: int) -> Attention:
+    """The model after ROUNDS rounds that together use every training window once; there are ``tokens`` ids.
+
+    Rows are dealt by hash and sorted within a deal, so the files they come from
+    don't matter. Each deal starts a round from the same weights and passes on
+    how far it moved them, times its windows; only the weights are broadcast,
+    and only their summed moves come back.
     """
-    context, times = training.sparkSession.sparkContext, max(1, -(-STEPS * BATCH // windows))
+    context, deals = training.sparkSession.sparkContext, -(-tokens // DEAL)
+    rows = written(encoded(training, vocabulary))
+    dealt = rows.repartition(deals, F.xxhash64("doc_id", "at", "ids")).sortWithinPartitions("doc_id", "at", "ids").select("ids")
     for number in range(ROUNDS):
-        held = context.broadcast(cloudpickle.dumps((vocabulary, model)))  # bounded by IDS, RARE_KEPT; by value, as executors lack the package
+        held = context.broadcast(cloudpickle.dumps(model))  # bounded by IDS; by value, as executors lack the package
 
         def learn(frames, held=held, number=number):
-            vocabulary, start = cloudpickle.loads(held.value)
-            trainer = Trainer(start, RATE * (1 - 0.9 * number / ROUNDS))
+            start = cloudpickle.loads(held.value)
+            trainer = Trainer(start, RATE * (1 - 0.7 * number / ROUNDS))
             for frame in frames:
-                texts = [raw(t) for t in frame["text"]]
-                for a, b in _chunks(texts, 1 << 20):
-                    found, begins = pieces(texts[a:b])
-                    trainer.learn(vocabulary.encode(found)[0], begins, number, ROUNDS, times, BATCH)
+                parts = [np.frombuffer(x, dtype=np.uint16) for x in frame["ids"]]
+                for a, b in _chunks(parts, 1 << 18):
+                    begins = np.cumsum([0] + [len(x) for x in parts[a:b]])
+                    trainer.learn(np.concatenate(parts[a:b]).astype(np.int64), begins, number, ROUNDS, BATCH)
             if trainer.windows:
-                moves = (trainer.model.flat() - start.flat()) * np.float64(trainer.windows)
-                cuts = [moves[a : a + BLOCK] for a in range(0, len(moves), BLOCK)]
-                yield pd.DataFrame({"block": range(len(cuts)), "part": TaskContext.get().partitionId(), "windows": trainer.windows, "moves": cuts})
-
-        def summed(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("part")
-            return pd.DataFrame({"block": rows["block"].iloc[:1], "windows": [rows["windows"].sum()], "moves": [np.sum(np.stack(rows["moves"].tolist()), axis=0)]})
-
-        moves = training.select("text").mapInPandas(learn, "block int, part int, windows long, moves array<double>")
-        rows = sorted(moves.groupBy("block").applyInPandas(summed, "block int, windows long, moves array<double>").collect())  # as many as the weights fill
-        if rows:
-            model = model.moved(np.concatenate([r["moves"] for r in rows]) / rows[0]["windows"])
+                moves = np.rint((trainer.model.flat() - start.flat()).astype(np.float64) * FINE / (1 << 20)).astype(np.int64) * trainer.windows
+                yield pd.DataFrame({"weight": range(len(moves)), "windows": trainer.windows, "move": moves})
+
+        moves = dealt.mapInPandas(learn, "weight int, windows long, move long").groupBy("weight")
+        summed = moves.agg(F.sum("windows").alias("windows"), F.sum(F.col("move").cast("decimal(28,0)")).alias("move"))
+        found = summed.select("weight", (F.col("move").cast("double") / F.col("windows")).alias("by")).toPandas()  # one row a weight
+        if len(found):
+            model = model.moved(found.sort_values("weight")["by"].to_numpy() * (1 << 20) / FINE)
         held.destroy()
     return model
 
@@ -140,32 +221,43 @@ def scores(docs: DataFrame) -> DataFrame:
     texts = totals.get(TEXTS, (0, 0))[0]
     all_tokens = totals.get(WORDS, (0, 0))[0] + texts
     distinct = totals.get(WORDS, (0, 0))[1] + (texts > 0)
-    head, head_counts = _top(counts, WORDS, HEAD)
-    order = np.argsort(head)
+    head = np.array(commonest(counts.where(F.col("kind") == WORDS), HEAD), dtype=np.int64).reshape(-1, 2)
+    head = head[np.argsort(head[:, 0])]
     vocabulary, model = fit(training, counts, totals)
-    state = cloudpickle.dumps((head[order], np.log10(head_counts[order] + 1.0), vocabulary, model))
-    shared = docs.sparkSession.sparkContext.broadcast(state)  # bounded by HEAD, IDS, RARE_KEPT
+    state = cloudpickle.dumps((head[:, 0], head[:, 1], vocabulary, model))
+    shared = docs.sparkSession.sparkContext.broadcast(state)  # bounded by HEAD and IDS
     end_log = float(np.log10(texts + 1.0))
 
     def run(frames):
-        head, head_logs, vocabulary, model = cloudpickle.loads(shared.value)
+        head, head_counts, vocabulary, model = cloudpickle.loads(shared.value)
         hasher, part, at = SpanHasher(), TaskContext.get().partitionId(), 0
+        head_logs = np.concatenate([np.log10(head_counts + 1.0), [0.0]])  # the last is for words that aren't in it
+        own_logs = np.concatenate([np.log(head_counts - vocabulary.discount), [0.0]])
+        total_logs, unseen_logs = np.log(vocabulary.totals), np.log(vocabulary.unseen)
         for frame in frames:
             texts = [raw(t) for t in frame["text"]]
             for a, b in _chunks(texts, 1 << 20):
-                words, cuts = word_hashes(texts[a:b], hasher)
-                place = np.minimum(np.searchsorted(head, words), max(len(head) - 1, 0))
-                hit = head[place] == words if len(head) else np.zeros(len(words), dtype=bool)
-                logs = np.concatenate([[0.0], np.cumsum(np.where(hit, head_logs[place], 0.0) if len(head) else np.zeros(len(words)))])
+                words = Words(texts[a:b], hasher)
+                cuts = words.cuts
+                place = np.searchsorted(head, words.hashes)
+                hit = np.concatenate([head, [-1]])[place] == words.hashes
+                place[~hit] = len(head)
+                logs = np.concatenate([[0.0], np.cumsum(head_logs[place])])
                 known = np.concatenate([[0], np.cumsum(hit)])
-                found, begins = pieces(texts[a:b])
-                ids, within, uncovered = vocabulary.encode(found)
-                chance = np.concatenate([[0.0], np.cumsum(model.score(ids, begins) + within)])
+                ids, others = vocabulary.encode(words.hashes, words.begins)
+                within = np.zeros(len(ids))
+                within[others] = own_logs[place[others]] - total_logs[ids[others]]
                 rest = np.flatnonzero(~hit)
+                triples, own = words.triples()
+                spelled = np.concatenate([[0.0], np.cumsum(vocabulary.spelling[0][triples] + vocabulary.spelling[1][own])])
+                lack = unseen_logs[ids[rest]] + spelled[words.ends[rest] + 1] - spelled[words.starts[rest]]  # as if it never occurred
+                within[rest] += lack
+                tokens, begins, places = words.with_ends(ids)
+                chances = model.score(tokens, begins)
+                chances[places] += within
+                chance = np.concatenate([[0.0], np.cumsum(chances)])
                 rest_cuts = np.searchsorted(rest, cuts)
-                tails = [np.unique(words[rest[x:y]], return_counts=True) for x, y in zip(rest_cuts, rest_cuts[1:], strict=False)]
-                rare_cuts = np.searchsorted(uncovered, begins)
-                rares = [np.unique(found[uncovered[x:y]], return_counts=True) for x, y in zip(rare_cuts, rare_cuts[1:], strict=False)]
+                tails = [np.unique(words.hashes[rest[x:y]], return_index=True, return_counts=True) for x, y in zip(rest_cuts, rest_cuts[1:], strict=False)]
                 yield pd.DataFrame(
                     {
                         "row": (part << 40) + at + np.arange(b - a),
@@ -175,31 +267,26 @@ def scores(docs: DataFrame) -> DataFrame:
                         "known": np.diff(known[cuts]),
                         "logs": np.diff(logs[cuts]),
                         "score": np.diff(chance[begins]) / np.log(10),
-                        "keys": [k for k, _ in tails],
-                        "counts": [n for _, n in tails],
-                        "rare_keys": [k for k, _ in rares],
-                        "rare_counts": [n for _, n in rares],
+                        "keys": [k for k, _, _ in tails],
+                        "lacks": [lack[x + i] for x, (_, i, _) in zip(rest_cuts, tails, strict=False)],
+                        "counts": [n for _, _, n in tails],
                     }
                 )
                 at += b - a
 
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double,"
-        " keys array<long>, counts array<int>, rare_keys array<long>, rare_counts array<int>"
+        " keys array<long>, lacks array<double>, counts array<int>"
     )
     scored = written(rows.mapInPandas(run, schema))
 
-    def tail(kind: int, keys: str, times: str) -> DataFrame:
-        each = scored.select("row", F.explode(F.arrays_zip(keys, times)).alias("t"))
-        return each.select("row", F.lit(kind).alias("kind"), F.col(f"t.{keys}").alias("key"), F.col(f"t.{times}").alias("times"))
-
-    found = tail(WORDS, "keys", "counts").union(tail(PIECES, "rare_keys", "rare_counts")).join(counts, ["kind", "key"])
-    is_word = F.col("kind") == WORDS
-    gained = F.log(F.col("n") / F.lit(float(vocabulary.rare_total))) - F.lit(vocabulary.unseen_log)  # it was scored as unseen
+    each = scored.select("row", F.explode(F.arrays_zip("keys", "lacks", "counts")).alias("t"))
+    tails = each.select("row", F.col("t.keys").alias("key"), F.col("t.lacks").alias("lack"), F.col("t.counts").alias("times"))
+    found = tails.join(counts.where(F.col("kind") == WORDS).select("key", "n"), "key")
     added = found.groupBy("row").agg(
-        F.sum(F.when(is_word, F.col("times"))).alias("_known"),
-        F.sum(F.when(is_word, F.col("times") * F.log10(F.col("n") + 1.0))).alias("_logs"),
-        F.sum(F.when(~is_word, F.col("times") * gained)).alias("_gained"),
+        F.sum("times").alias("_known"),
+        F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs"),
+        F.sum(F.col("times") * (F.log(F.col("n") - vocabulary.discount) - F.col("lack"))).alias("_gained"),  # it was scored as if it never occurred
     )
     whole = scored.join(added, "row", "left")
     base = F.col("logs") + F.coalesce("_logs", F.lit(0.0)) + F.lit(end_log) - F.col("n_tokens") * F.lit(float(np.log10(all_tokens + distinct + 1.0)))

@@ -410,14 +410,34 @@ def test_toxicity_learns(docs_of, spark, awkward):
 
 
 def test_every_subword_is_scored_once():
-    found, begins = attention.pieces([b"Hello  wOrld ab\n", b"", b"  ", b"x" * 700])
-    assert begins.tolist()[:4] == [0, 6, 7, 8] and (found == attention.END_PIECE).sum() == 4
+    words = lmscore.Words([b"Hello  wOrld ab\n", b"", b"  ", b"x " * 700], lmscore.SpanHasher())
+    found, begins, places = words.with_ends(np.full(703, attention.FIRST))
+    assert begins.tolist() == [0, 4, 5, 6, 707] and (found == attention.END).sum() == 4 and (found[places] == attention.FIRST).all()
+    assert [int(x).to_bytes(3, "big") for x in words.begins[:3]] == [b"hel", b"wor", b"ab\0"]
     firsts, sizes, context = attention.windows(begins)
     seen = np.zeros(len(found), dtype=int)
     np.add.at(seen, np.repeat(firsts, sizes) + attention._counter(sizes), 1)
     assert (seen == 1).all() and (sizes + context <= attention.WINDOW).all()
 
 
+def test_spelling_is_a_distribution():
+    rng = np.random.default_rng(3)
+    classes, members = lmscore.spelling_of(rng.integers(0, 3, lmscore.CLASSES**3).astype(float), rng.integers(0, 9, 256).astype(float))
+    assert np.allclose(np.exp(classes).reshape(-1, lmscore.CLASSES).sum(axis=1), 1)
+    assert np.allclose(np.bincount(lmscore._CLASSES, np.exp(members), lmscore.CLASSES)[np.unique(lmscore._CLASSES)], 1)
+
+
+def test_chances_of_words_sum_to_one(spark):
+    """Of one id: the rests of words that occur, and the part left to words that don't."""
+    text = " ".join(f"ab{chr(97 + i)}" for i in range(26) for _ in range(i + 1))
+    counts = lmscore.corpus_counts(spark.createDataFrame([(1, text), (2, "abz abc")], "doc_id long, text string"))
+    no_common = [(1, 2)]
+    vocabulary = attention.Vocabulary.of(no_common, [], (353, 26), 2, 0.5, lmscore.spelling_of(np.zeros(lmscore.CLASSES**3), np.zeros(256)))
+    n = np.array([r["n"] for r in counts.where(F.col("kind") == lmscore.WORDS).collect()])
+    assert n.sum() == 353 and len(n) == 26
+    assert ((n - 0.5).sum() + vocabulary.unseen[attention.RARE]) / vocabulary.totals[attention.RARE] == pytest.approx(1)
+
+
 def test_attention_is_causal_and_proper():
     rng = np.random.default_rng(0)
     model = attention.Attention.fresh(rng.integers(0, 50, attention.IDS).astype(float))
@@ -448,7 +468,7 @@ def test_gradients():
 
 
 def test_scores(docs_of, awkward, monkeypatch):
-    monkeypatch.setattr(lmscore, "STEPS", 20)
+    monkeypatch.setattr(lmscore, "COMMON", 4)
     monkeypatch.setattr(lmscore, "HEAD", 5)
     rows = awkward + near_copies(30)
     got = lmscore.scores(docs_of(rows)).collect()
@@ -459,17 +479,16 @@ def test_scores(docs_of, awkward, monkeypatch):
     assert all(r.score < 0 for r in got)
 
 
-def test_scores_of_rare_subwords_need_no_cap(docs_of, monkeypatch):
-    monkeypatch.setattr(lmscore, "STEPS", 3)
-    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2]
-    letters = [chr(0x4E00 + i) for i in range(6093)]
-    own = attention.IDS - attention.FIRST  # these occur three times, the others once
-    texts = [" ".join(letters[a : a + 60]) for a in range(0, len(letters), 60)] + [" ".join(letters[:own])] * 2
-    rows = [*zip(ids, texts, strict=False)]
-    score = lambda: {r.doc_id: r.score for r in lmscore.scores(docs_of(rows)).collect()}
-    whole = score()
-    monkeypatch.setattr(lmscore, "RARE_KEPT", 1)
-    assert score() == pytest.approx(whole, rel=1e-5)
+@pytest.mark.parametrize("parts", [1, 5])
+def test_scores_need_no_cap_and_no_layout(docs_of, monkeypatch, parts):
+    """Words beyond HEAD are joined, and rows learn the same however they are dealt to files."""
+    rows = near_copies(40) + [(7000 + i, " ".join(f"w{i * j % 97}x{j}" for j in range(50))) for i in range(20)]
+    score = lambda docs: {r.doc_id: r.score for r in lmscore.scores(docs).collect()}
+    monkeypatch.setattr(lmscore, "DEAL", 2000)
+    monkeypatch.setattr(lmscore, "COMMON", 4)
+    whole = score(docs_of(rows).coalesce(1))
+    monkeypatch.setattr(lmscore, "HEAD", 5)
+    assert score(docs_of(rows[::-1]).repartition(parts)) == pytest.approx(whole, rel=1e-5)
 
 
 def test_language_model_learns_from_every_window(spark, monkeypatch):
@@ -480,14 +499,18 @@ def test_language_model_learns_from_every_window(spark, monkeypatch):
     docs = spark.createDataFrame([(0, long)], "doc_id long, text string")
     counts = lmscore.corpus_counts(docs)
     totals = {r["kind"]: (r["n"], r["keys"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("keys")).collect()}
-    monkeypatch.setattr(lmscore, "STEPS", 400)
+    monkeypatch.setattr(lmscore, "BATCH", 4)
     vocabulary, model = lmscore.fit(docs, counts, totals)
-    found, begins = attention.pieces([cycle.encode()])
-    ids = vocabulary.encode(found)[0]
+
+    def coded(*texts):
+        words = lmscore.Words(list(texts), lmscore.SpanHasher())
+        return words.with_ends(vocabulary.encode(words.hashes, words.begins)[0])[:2]
+
+    ids, begins = coded(cycle.encode())
     assert model.score(ids, begins).mean() > attention.Attention.fresh(vocabulary.counts).score(ids, begins).mean() + 1
 
-    trainer, found, begins = attention.Trainer(model, 0.01), *attention.pieces([long.encode(), b"", b"a short one"])
-    ids, firsts = vocabulary.encode(found)[0], attention.windows(begins)[0]
+    trainer, (ids, begins) = attention.Trainer(model, 0.01), coded(long.encode(), b"", b"a short one")
+    firsts = attention.windows(begins)[0]
     for share in range(lmscore.ROUNDS):
-        trainer.learn(ids, begins, share, lmscore.ROUNDS, 1, 64)
+        trainer.learn(ids, begins, share, lmscore.ROUNDS, 64)
     assert trainer.windows == len(firsts)
