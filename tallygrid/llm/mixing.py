@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallygrid.llm.common import word_count
+from tallygrid.llm.common import word_count, written
 
 #: Fixed by the task: weights by rank of the source, share of all words, most copies of a document.
 WEIGHTS, SHARE_NUM, SHARE_DEN, MOST = (3, 1, 2), 3, 2, 2
@@ -87,25 +87,35 @@ def serve(rows: DataFrame, most: int = MOST) -> DataFrame:
     return served.select(*rows.columns, "copy", start.alias("start"), finish.alias("finish"), taken.alias("words"))
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """The copies that the mix takes of :func:`queued` rows, with the words taken, globally sorted by virtual finish."""
+    order = ["finish", "source", "doc_id", "copy"]
+    items = serve(rows).where(F.col("words") > 0).select("doc_id", "source", "copy", "finish", "words", "before")
+    return items.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself, globally sorted by virtual finish: one row per copy taken, (doc_id, source, copy, finish, words)."""
-    rows = docs.select("doc_id", "source", word_count().alias("size"))
-    items = serve(queued(targets_of(rows))).where(F.col("words") > 0)
-    order = ["finish", "source", "doc_id", "copy"]
-    return items.select("doc_id", "source", "copy", "finish", "words").repartitionByRange(*order).sortWithinPartitions(*order)
+    return in_order(queued(targets_of(sized(docs)))).drop("before")
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "source", word_count().alias("size"))
 
 
 def mix_counts(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: its words, its source's words and target, and the words the mix takes of it.
 
-    A null text has size 0 and is never taken; a null source is a source of its
-    own, ranked last; rows that share an id are queued one by one.
+    The queue is served in order of virtual finish and stored so; what a row
+    gives is the sum over its copies there. A null text has size 0 and is never
+    taken; a null source is a source of its own, ranked last; rows that share an
+    id are queued one by one, and are told by their source and place in its queue.
     """
-    rows = queued(targets_of(docs.select("doc_id", "source", word_count().alias("size"))))
-    cut = F.floor(F.col("target"))
-    share = lambda copy: F.greatest(F.lit(0), F.least(F.col("size"), cut - F.col("before") - copy * F.col("source_size")))
-    taken = sum((share(copy) for copy in range(1, MOST)), share(0))
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    rows = written(queued(targets_of(written(sized(docs)))))
+    served = written(in_order(rows)).groupBy(F.col("source").alias("_of"), F.col("before").alias("_at")).agg(F.sum("words").alias("_words"))
+    own = F.col("source").eqNullSafe(F.col("_of")) & (F.col("before") == F.col("_at")) & (F.col("size") > 0)
+    taken = F.coalesce(F.col("_words"), F.lit(0)).cast("long").alias("taken")
+    return rows.join(served, own, "left").select("doc_id", "size", "source_size", "target", taken)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

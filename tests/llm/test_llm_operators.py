@@ -97,6 +97,17 @@ def test_mix_is_in_order_and_agrees(docs_of):
     assert dict(taken) == {r.doc_id: r.taken for r in mixing.mix_counts(docs_of(rows)).collect() if r.taken}
 
 
+def test_mix_counts_come_from_the_served_queue(docs_of, monkeypatch):
+    """Counts are those of the stored queue: a queue that serves first copies only takes no document twice."""
+    rows = [(i, "w " * (1 + i % 7), "abc"[i % 3]) for i in range(60)] + [(3, "w", "a"), (3, "w", "a"), (4, None, "a"), (4, "", "a")]
+    whole = {(r.doc_id, r.size): r.taken for r in mixing.mix_counts(docs_of(rows)).collect()}
+    assert any(taken > size for (_, size), taken in whole.items())
+    serve = mixing.serve
+    monkeypatch.setattr(mixing, "serve", lambda queue: serve(queue).where("copy = 0"))
+    once = mixing.mix_counts(docs_of(rows)).collect()
+    assert len(once) == len(rows) and any(r.taken for r in once) and all(r.taken <= r.size for r in once)
+
+
 # sharding
 
 
