@@ -206,13 +206,16 @@ def _discount_row(kind: tuple[str, str, str], amount: Column, net: Column) -> Co
     )
 
 
-def discount_groups(src: BillingSources, posted: DataFrame) -> DataFrame:
+def discount_groups(src: BillingSources, posted: DataFrame, buckets: int | None = None) -> DataFrame:
     """Discount totals per invoice, text and time class, one row per kind of discount.
 
     All three kinds group by the same keys, so one aggregation computes their
     sums side by side and each group then yields a row per kind it has lines of.
     A line counts once for each fitting lookup row of its kind: the lookups are
     reduced to one row per id with that number, so none can touch another kind.
+    Lines are dealt once, by invoice or by the invoice's account into
+    ``buckets``: grouping, a later distinct and buckets need no other exchange.
+    A line is narrower than its sums, and few lines share a group.
     """
     types = (
         scd2_current(src.adjustmenttype, F.col("id").alias("adjustment_type_id"), "name", "adjustment_group_id")
@@ -249,7 +252,8 @@ def discount_groups(src: BillingSources, posted: DataFrame) -> DataFrame:
         return F.sum(F.when(F.col(flag), value))
 
     net, discount = F.col("net_amount"), F.col("discount_net")
-    grouped = lines.groupBy(
+    dealt = lines.repartition(buckets, "invoice_account_id") if buckets else lines.repartition("invoice_id")
+    grouped = dealt.groupBy(
         "invoice_id",
         "invoice_account_id",
         "posted_date",
@@ -351,15 +355,14 @@ def _sparse(rows: DataFrame) -> DataFrame:
     )
 
 
-def _unique(rows: DataFrame, buckets: int | None = None) -> DataFrame:
+def _unique(rows: DataFrame) -> DataFrame:
     """Measured rows once.
 
     The measures of volume, revenue and discount rows never share a name, so
     one distinct over their union equals a distinct per branch. Rows that are
-    dealt by account, as they come or into ``buckets``, meet without a further exchange.
+    dealt by account meet without a further exchange.
     """
-    named = rows.filter(F.col("measure_name").isNotNull())
-    return (named.repartition(buckets, "seq_product_item_id") if buckets else named).distinct()
+    return rows.filter(F.col("measure_name").isNotNull()).distinct()
 
 
 def _finish_core(unique: DataFrame) -> DataFrame:
@@ -422,8 +425,8 @@ def invoice_core_from_posted(src: BillingSources, posted: DataFrame, buckets: in
     The meter columns of the registry and the distincts between the models
     cannot reach this result, so the lines go through one wide shuffle, not
     four; none if ``posted`` lies in ``buckets`` by account. Discounts belong to
-    the account of the invoice, so they are dealt anew, summed up.
+    the account of the invoice, so they are dealt anew before they are summed up.
     """
     charged = _unique(_sparse(charge_rows(bill_lines(src, posted))))
-    discounted = _unique(_sparse(_daily_discounts(discount_groups(src, posted))), buckets)
+    discounted = _unique(_sparse(_daily_discounts(discount_groups(src, posted, buckets))))
     return _finish_core(charged.unionByName(discounted))
