@@ -1,5 +1,6 @@
 """How the plans run: buckets, runtime filters, observed counts, statistics, contracts, reuse."""
 
+import os
 import re
 import subprocess
 import sys
@@ -18,12 +19,12 @@ from tallygrid.operators.profiles import AVERAGED, CHARGE, SEGMENT, segment_prof
 from tallygrid.operators.ranking import latest_by_maxima, latest_in_buckets
 from tallygrid.operators.skew import fits_buckets
 from tallygrid.plans import accounts, accruals, billing, contracts, results, run as runs
-from tallygrid.session import Staging, fresh_path, inline
+from tallygrid.session import Staging, fit_partitions, fresh_path, inline, prepare
 from tallygrid.sinks import tables
 from tallygrid.sinks.observed import Watch, is_missing, is_outside
 from tallygrid.sinks.runlog import RunLog
 from tallygrid.sources.tables import BillingSources, schema_of
-from tallygrid.sources.testtables import TEST_RUN, billing_sources
+from tallygrid.sources.testtables import TEST_RUN, billing_sources, table
 
 SHUFFLED = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
@@ -439,3 +440,32 @@ def test_the_graph_works_out_shared_parts_once(spark, small):
     models = graphs.whole_graph(Tables(spark, small))
     assert models.select("model").distinct().count() == 32
     assert "ReusedExchange" in executed(models)
+
+
+def test_a_union_keeps_its_branches_apart(spark, conf):
+    """Lined up, a task reads a partition of every branch, so nested unions read many at once."""
+    conf({"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"})
+    branches = [spark.range(100).select(F.col("id") + i).distinct() for i in range(3)]
+    assert branches[0].union(branches[1]).union(branches[2]).rdd.getNumPartitions() == 24
+
+
+def test_discounts_are_dealt_once(src, staged, conf):
+    """Groups and distinct discounts of an invoice meet where its lines are; sums and wide rows don't travel."""
+    conf(SHUFFLED)
+    shown = plan(billing.adjustment_discounts(src, staged[0].posted))
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", shown)
+    assert any(keys.startswith("invoice_id#") for keys in dealt)
+    assert not any("measure_name#" in keys or "due_date#" in keys for keys in dealt)
+
+
+def test_partitions_follow_the_tables(spark, small, conf, tmp_path):
+    conf({"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB"})
+    prepare(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(16 << 20)
+    lines = table(spark, small, "lineitem")
+    size = os.path.getsize(f"{small}/lineitem.parquet")
+    assert fit_partitions(spark, lines) == 8
+    assert fit_partitions(spark, lines, lines, part=1000) == -(-2 * size // 1000) == Staging(spark, str(tmp_path)).buckets
+    conf({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"})
+    prepare(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8k"
