@@ -70,7 +70,8 @@ class Words:
     def triples(self) -> tuple[np.ndarray, np.ndarray]:
         """Per byte the classes of the two before it and its own as one number, and the byte itself; white space is 0."""
         now = _CLASSES[self.data]
-        one, two = np.concatenate([[0], now[:-1]]), np.concatenate([[0, 0], now[:-2]])
+        none = np.zeros(2, dtype=now.dtype)  # a plain 0 would make 64-bit numbers of all
+        one, two = np.concatenate([none[:1], now[:-1]]), np.concatenate([none, now[:-2]])
         one_back = np.where(one == 0, 0, two)  # what lies before a word's first letter doesn't count
         return (one_back * CLASSES + one) * CLASSES + now, np.where(now == 0, 0, self.data)
 
@@ -88,6 +89,17 @@ class Words:
         return out, begins, places
 
 
+#: Bytes of texts that are counted at once: a count takes some hundred times as many. So many counts are summed before they are passed on.
+COUNTED, SUMMED = 1 << 20, 4
+
+
+def _summed(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """Counted words of some pieces as rows, each word once."""
+    keys, begins, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    keys, at, of = np.unique(keys, return_index=True, return_inverse=True)
+    return pd.DataFrame({"kind": WORDS, "key": keys, "begins": begins[at], "n": np.bincount(of, n, len(keys)).astype(np.int64)})
+
+
 def corpus_counts(training: DataFrame) -> DataFrame:
     """(kind, key, begins, n): occurrences of each word (by hash, with its beginning), the number of texts, and occurrences
     of byte classes in threes and of bytes in words of LONG bytes or more, as words that are not known are seldom short."""
@@ -96,15 +108,20 @@ def corpus_counts(training: DataFrame) -> DataFrame:
         hasher = SpanHasher()
         for frame in frames:
             texts = [raw(t) for t in frame["text"]]
-            threes, ones = np.zeros(CLASSES**3, dtype=np.int64), np.zeros(256, dtype=np.int64)
-            for a, b in _chunks(texts, 1 << 22):
+            threes, ones, found = np.zeros(CLASSES**3, dtype=np.int64), np.zeros(256, dtype=np.int64), []
+            for a, b in _chunks(texts, COUNTED):
                 words = Words(texts[a:b], hasher)
                 keys, at, n = np.unique(words.hashes, return_index=True, return_counts=True)
                 triples, own = words.triples()
                 places = words.spelled(np.flatnonzero(words.ends - words.starts >= LONG))
                 threes += np.bincount(triples[places], minlength=CLASSES**3)
                 ones += np.bincount(own[places], minlength=256)
-                yield pd.DataFrame({"kind": WORDS, "key": keys, "begins": words.begins[at], "n": n})
+                found.append((keys, words.begins[at], n))
+                if len(found) == SUMMED:
+                    yield _summed(found)
+                    found = []
+            if found:
+                yield _summed(found)
             for kind, counted in ((TRIPLES, threes), (BYTES, ones)):
                 used = np.flatnonzero(counted)
                 yield pd.DataFrame({"kind": kind, "key": used, "begins": 0, "n": counted[used]})

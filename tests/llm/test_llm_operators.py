@@ -449,6 +449,18 @@ def test_chances_of_words_sum_to_one(spark):
     assert ((n - 0.5).sum() + vocabulary.unseen[attention.RARE]) / vocabulary.totals[attention.RARE] == pytest.approx(1)
 
 
+def test_words_are_counted_in_small_pieces(spark, monkeypatch):
+    texts = [(i, f"alpha beta{i % 5} Gamma alpha \u00e9t\u00e9 {i}") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    want = sorted(map(tuple, lmscore.corpus_counts(docs).collect()))
+    monkeypatch.setattr(lmscore, "COUNTED", 500)
+    monkeypatch.setattr(lmscore, "SUMMED", 3)
+    assert sorted(map(tuple, lmscore.corpus_counts(docs).collect())) == want
+    assert sum(n for kind, _, n, _ in want if kind == lmscore.WORDS) == 300 * 6
+    triples, own = lmscore.Words([b"abc d"], lmscore.SpanHasher()).triples()
+    assert triples.dtype.itemsize <= 4 and own.dtype.itemsize == 1
+
+
 def test_attention_is_causal_and_proper():
     rng = np.random.default_rng(0)
     model = attention.Attention.fresh(rng.integers(0, 50, attention.IDS).astype(float))
