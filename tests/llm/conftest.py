@@ -2,6 +2,9 @@ import os
 
 import pytest
 
+# Tests of the folder above import this from "conftest", which is this file where both folders are collected.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 
 
