@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 from collections.abc import Callable
 
@@ -14,6 +15,9 @@ REMEMBERED = 1_000_000
 
 _PAIRED_SPACE = re.compile(r"\s\s|\s\Z")
 
+#: Characters that behind letters start a part of their own and go together there; an apostrophe may go with letters.
+_MARKS = "".join(c for c in string.punctuation if c != "'")
+
 
 def kept(name: str, make: Callable):
     """An object that outlives the task: functions travel by value, so their module's globals don't."""
@@ -36,18 +40,25 @@ class Stretches(dict):
     def __init__(self, tokenizer) -> None:
         super().__init__()
         self.tokenizer, self.model, self.written = tokenizer, tokenizer.model, byte_characters()
+        self.space, self.pairs = self.written[32], [i.to_bytes(2, "little") for i in range(1 << 16)]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def __missing__(self, stretch: str) -> bytes:
-        if (stretch[1:] if stretch[:1] == " " else stretch).isalpha():  # one token of the first split, as letters go together
-            found = self.model.tokenize(stretch.encode().decode("latin-1").translate(self.written))
-            ids = b"".join([t.id.to_bytes(2, "little") for t in found])
-        elif stretch[-1:] in (".", ",") and stretch[-2:-1].isalpha():
-            ids = self[stretch[:-1]] + self[stretch[-1]]
-        else:
+        word = stretch.rstrip(_MARKS)
+        spaced = word[:1] == " "
+        if not (word[1:] if spaced else word).isalpha():
             ids = self.whole(stretch)
+        elif len(word) < len(stretch):
+            ids = self[word] + self[stretch[len(word) :]]
+        else:  # one token of the first split, as letters go together
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.written)
+            elif spaced:
+                word = self.space + word[1:]
+            pairs = self.pairs
+            ids = b"".join([pairs[t.id] for t in self.model.tokenize(word)])
         self[stretch] = ids
         return ids
 

@@ -280,6 +280,15 @@ def test_encoder_agrees_with_the_library(vocabularies):
         assert np.frombuffer(own([text])[0], "<u2").tolist() == own.known.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_before_marks_are_encoded_as_words(vocabularies, monkeypatch):
+    own, wholes = Encoder(vocabularies["byte_bpe_50k.json"]), []
+    whole = own.known.whole
+    monkeypatch.setattr(own.known, "whole", lambda text: wholes.append(text) or whole(text))
+    text = "Gar nicht&&& lang!! \u00e9t\u00e9??? don't l'eau' ''a .b c1; d--"
+    assert own([text])[0] == whole(text)
+    assert set(wholes) == {"&&&", "!!", "???", " don't", " l'eau'", " ''a", " .b", " c1;", "--"}
+
+
 def test_token_files(docs_of, awkward, vocabularies):
     path = vocabularies["byte_bpe_50k.json"]
     got = tokenstore.stored_tokens(docs_of(awkward), path).collect()
