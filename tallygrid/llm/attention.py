@@ -13,6 +13,8 @@ WIDTH, GROUPS = 16, 64
 #: Id of the start of a text, of its end, and of all beginnings without an id of their own.
 START, END, RARE, FIRST = 0, 1, 2, 3
 IDS = GROUPS * GROUPS
+#: Rows of logits that are turned into chances at once.
+ROWS = 1024
 #: Subwords with an id: common words whole, and three-byte beginnings of the other words.
 BEGINNINGS = 1024
 COMMON = IDS - FIRST - BEGINNINGS
@@ -134,117 +136,118 @@ class Attention:
             at += w.size
         return Attention(out)
 
+    def attended(self, x: np.ndarray, n: int, t: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        """What each place of ``n`` windows sees up to itself, and for the gradients queries, keys, values, weights and
+        what they are multiplied with: weights stay without their sums, which come with the values in one product."""
+        qkv = (x @ self.weights["qkv"]).reshape(n, t, 3 * WIDTH)
+        q = qkv[:, :, :WIDTH] * x.dtype.type(WIDTH**-0.5)
+        k = np.ascontiguousarray(qkv[:, :, WIDTH : 2 * WIDTH])
+        v = np.ones((n, t, WIDTH + 1), dtype=x.dtype)
+        v[:, :, :WIDTH] = qkv[:, :, 2 * WIDTH :]
+        before = np.tril(np.ones((t, t), dtype=x.dtype))
+        a = _exp(np.matmul(q, k.transpose(0, 2, 1)), before)
+        a *= before
+        seen = np.matmul(a, v).reshape(-1, WIDTH + 1)
+        share = 1 / seen[:, WIDTH:]
+        return seen[:, :WIDTH] * share, (q, k, v, a, share)
+
     def hidden(self, ids: np.ndarray) -> tuple[np.ndarray, dict]:
         """States of a batch of windows; place t sees the places up to t only."""
         w, (n, t) = self.weights, ids.shape
-        x = w["embed"][ids] + w["place"][:t]
-        qkv = (x.reshape(-1, WIDTH) @ w["qkv"]).reshape(n, t, 3, WIDTH)
-        q, k, v = (np.ascontiguousarray(qkv[:, :, i]) for i in range(3))
-        scores = np.matmul(q, k.transpose(0, 2, 1)) * np.float32(WIDTH**-0.5)
-        scores += np.triu(np.full((t, t), -1e9, dtype=np.float32), 1)
-        scores -= scores.max(axis=-1, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(axis=-1, keepdims=True)
-        seen = np.matmul(scores, v)
-        y = x + (seen.reshape(-1, WIDTH) @ w["out"]).reshape(n, t, WIDTH)
-        up = y.reshape(-1, WIDTH) @ w["up"] + w["up_bias"]
-        active = np.maximum(up, 0)
-        z = y + (active @ w["down"]).reshape(n, t, WIDTH)
-        return z, {"x": x, "q": q, "k": k, "v": v, "a": scores, "seen": seen, "y": y, "active": active}
-
-    def log_chances(self, z: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Log chance of each target id, given the states before them."""
-        w = self.weights
-        order = np.argsort((targets // GROUPS).astype(np.uint8), kind="stable")  # ids of a group together
-        z, targets = z[order], targets[order]
-        group, member = targets // GROUPS, targets % GROUPS
-        rows, ones = np.arange(len(targets)), np.ones(GROUPS, dtype=z.dtype)
-
-        def log_soft(x: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-            np.clip(x, -40, 40, out=x)  # no overflow, and the chances still sum to one
-            own = x[rows, at]
-            return own - np.log(np.exp(x, out=x) @ ones)
-
-        sums = log_soft(z @ w["group"] + w["group_bias"], group, rows)
-        cuts = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
-        for g, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        x = (w["embed"].take(ids.ravel(), axis=0).reshape(n, t, WIDTH) + w["place"][:t]).reshape(-1, WIDTH)
+        seen, parts = self.attended(x, n, t)
+        y = x + seen @ w["out"]
+        active = y @ w["up"]
+        active += w["up_bias"]
+        np.maximum(active, 0, out=active)
+        z = y + active @ w["down"]
+        return z.reshape(n, t, WIDTH), {"x": x, "parts": parts, "seen": seen, "y": y, "active": active}
+
+    def by_group(self, z: np.ndarray, targets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Those rows of the states, each with a one for the biases, and their targets, sorted by the target's group; logits
+        of the groups and of the members of the target's group; the order, and where groups begin."""
+        w, goal = self.weights, targets.ravel()[rows]
+        order = np.argsort((goal // GROUPS).astype(np.uint8), kind="stable")
+        goal = goal[order]
+        zs = np.ones((len(rows), WIDTH + 1), dtype=z.dtype)
+        zs[:, :WIDTH] = z.take(rows[order], axis=0)
+        top = zs @ np.concatenate([w["group"], w["group_bias"][None]])
+        members = np.concatenate([w["member"], w["member_bias"][:, None]], axis=1)
+        low = np.empty_like(top)
+        cuts = np.searchsorted(goal // GROUPS, np.arange(GROUPS + 1)).tolist()
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if a < b:
-                sums[a:b] += log_soft(z[a:b] @ w["member"][g] + w["member_bias"][g], member[a:b], rows[: b - a])
+                np.matmul(zs[a:b], members[i], out=low[a:b])
+        return zs, goal, top, low, order, cuts
+
+    def log_chances(self, z: np.ndarray, targets: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """Log chance of each target id, of all rows or of some, given the states before them."""
+        _, goal, top, low, order, _ = self.by_group(z, targets, np.arange(len(z)) if rows is None else rows)
+        ones, sums = np.ones(GROUPS, dtype=z.dtype), np.zeros(len(goal), dtype=z.dtype)
+        for x, at in ((top, goal // GROUPS), (low, goal % GROUPS)):
+            for a in range(0, len(goal), ROWS):
+                part = x[a : a + ROWS]
+                np.clip(part, -40, 40, out=part)  # no overflow, and the chances still sum to one
+                sums[a : a + ROWS] += part[np.arange(len(part)), at[a : a + ROWS]] - np.log(np.exp(part, out=part) @ ones)
         out = np.empty(len(order))
         out[order] = sums
         return out
 
     def states(self, ids: np.ndarray) -> np.ndarray:
-        """As hidden, without what training needs. Scores are clipped instead of shifted; sums come with the values, in one product."""
-        w, (n, t) = self.weights, ids.shape
-        x = (w["embed"][ids] + w["place"][:t]).reshape(-1, WIDTH)
-        qkv = (x @ w["qkv"]).reshape(n, t, 3 * WIDTH)
-        q = qkv[:, :, :WIDTH] * np.float32(WIDTH**-0.5)
-        keys = np.ascontiguousarray(qkv[:, :, WIDTH : 2 * WIDTH].transpose(0, 2, 1))
-        values = np.ones((n, t, WIDTH + 1), dtype=np.float32)
-        values[:, :, :WIDTH] = qkv[:, :, 2 * WIDTH :]
-        a = np.matmul(q, keys)
-        np.minimum(a, 40, out=a)
-        np.exp(a, out=a)
-        a *= np.tril(np.ones((t, t), dtype=np.float32))
-        seen = np.matmul(a, values).reshape(-1, WIDTH + 1)
-        y = x + (seen[:, :WIDTH] / seen[:, WIDTH:]) @ w["out"]
-        active = y @ w["up"]
-        active += w["up_bias"]
-        np.maximum(active, 0, out=active)
-        return y + active @ w["down"]
+        """As hidden, a row a place, without what training needs."""
+        return self.hidden(ids)[0].reshape(-1, WIDTH)
 
     def step(self, ids: np.ndarray, targets: np.ndarray, used: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over the used targets, and its gradients."""
         w = self.weights
         z, c = self.hidden(ids)
         n, t = ids.shape
-        flat, goal, rows = z.reshape(-1, WIDTH), targets.ravel(), np.flatnonzero(used.ravel())
-        zs, goal = flat[rows], goal[rows]
-        group, member, m = goal // GROUPS, goal % GROUPS, len(rows)
-        g = {k: np.zeros_like(v) for k, v in w.items()}
-        top = _soft(zs @ w["group"] + w["group_bias"])
-        loss = -np.log(top[np.arange(m), group] + 1e-30).sum()
-        top[np.arange(m), group] -= 1
-        top /= m
-        g["group"], g["group_bias"] = zs.T @ top, top.sum(axis=0)
-        dz = top @ w["group"].T
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        for i in range(GROUPS):
-            if cuts[i] < cuts[i + 1]:
-                at = order[cuts[i] : cuts[i + 1]]
-                low = _soft(zs[at] @ w["member"][i] + w["member_bias"][i])
-                own = np.arange(len(at)), member[at]
-                loss -= np.log(low[own] + 1e-30).sum()
-                low[own] -= 1
-                low /= m
-                g["member"][i], g["member_bias"][i] = zs[at].T @ low, low.sum(axis=0)
-                dz[at] += low @ w["member"][i].T
+        flat = z.reshape(-1, WIDTH)
+        rows = np.flatnonzero(used.ravel())
+        zs, goal, top, low, order, cuts = self.by_group(flat, targets, rows)
+        m, loss = len(rows), 0.0
+        for x, at in ((top, goal // GROUPS), (low, goal % GROUPS)):
+            for a in range(0, m, ROWS):
+                loss += _lost(x[a : a + ROWS], at[a : a + ROWS], m)
+        g = {}
+
+        both = zs.T @ top
+        g["group"], g["group_bias"] = both[:WIDTH], both[WIDTH]
+        both, dz = np.zeros((GROUPS, WIDTH + 1, GROUPS), dtype=flat.dtype), np.empty((m, WIDTH), dtype=flat.dtype)
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if a < b:
+                np.matmul(zs[a:b].T, low[a:b], out=both[i])
+                np.matmul(low[a:b], w["member"][i].T, out=dz[a:b])
+        g["member"], g["member_bias"] = both[:, :WIDTH], both[:, WIDTH]
+        dz += top @ w["group"].T
         d = np.zeros_like(flat)
-        d[rows] = dz
-        active = c["active"]
+        d[rows[order]] = dz
+        ones, active = np.ones(n * t, dtype=flat.dtype), c["active"]
         g["down"] = active.T @ d
-        du = (d @ w["down"].T) * (active > 0)
-        y = c["y"].reshape(-1, WIDTH)
-        g["up"], g["up_bias"] = y.T @ du, du.sum(axis=0)
+        du = d @ w["down"].T
+        du *= active > 0
+        g["up"], g["up_bias"] = c["y"].T @ du, ones @ du
         dy = d + du @ w["up"].T
-        seen = c["seen"].reshape(-1, WIDTH)
-        g["out"] = seen.T @ dy
-        ds = (dy @ w["out"].T).reshape(n, t, WIDTH)
-        dv = np.matmul(c["a"].transpose(0, 2, 1), ds)
-        da = np.matmul(ds, c["v"].transpose(0, 2, 1))
-        da = c["a"] * (da - (da * c["a"]).sum(axis=-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dqkv = np.stack([np.matmul(da, c["k"]), np.matmul(da.transpose(0, 2, 1), c["q"]), dv], axis=2).reshape(n * t, 3 * WIDTH)
-        x = c["x"].reshape(-1, WIDTH)
-        g["qkv"] = x.T @ dqkv
+        g["out"] = c["seen"].T @ dy
+        q, k, v, a, share = c["parts"]
+        ds = np.empty((n * t, WIDTH + 1), dtype=flat.dtype)  # what a weight gains, less what all of its place gain on average
+        np.multiply(dy @ w["out"].T, share, out=ds[:, :WIDTH])
+        ds[:, WIDTH] = -np.einsum("ij,ij->i", ds[:, :WIDTH], c["seen"])
+        ds = ds.reshape(n, t, WIDTH + 1)
+        da = np.matmul(ds, v.transpose(0, 2, 1))
+        da *= a
+        dqkv = np.empty((n, t, 3 * WIDTH), dtype=flat.dtype)
+        np.multiply(np.matmul(da, k), flat.dtype.type(WIDTH**-0.5), out=dqkv[:, :, :WIDTH])
+        dqkv[:, :, WIDTH : 2 * WIDTH] = np.matmul(da.transpose(0, 2, 1), q)
+        dqkv[:, :, 2 * WIDTH :] = np.matmul(a.transpose(0, 2, 1), ds[:, :, :WIDTH])
+        dqkv = dqkv.reshape(n * t, 3 * WIDTH)
+        g["qkv"] = c["x"].T @ dqkv
         dx = dy + dqkv @ w["qkv"].T
-        order = np.argsort(ids.ravel(), kind="stable")
-        own = ids.ravel()[order]
-        heads = np.flatnonzero(np.diff(own, prepend=-1))
-        g["embed"][own[heads]] = np.add.reduceat(dx[order], heads, axis=0)
-        g["place"][:t] = dx.reshape(n, t, WIDTH).sum(axis=0)
-        return float(loss / max(m, 1)), g
+        places = (ids.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+        g["embed"] = np.bincount(places, dx.ravel(), IDS * WIDTH).reshape(IDS, WIDTH).astype(flat.dtype)
+        g["place"] = np.zeros_like(w["place"])
+        g["place"][:t] = (ones[:n] @ dx.reshape(n, t * WIDTH)).reshape(t, WIDTH)
+        return float(loss), g
 
     def score(self, ids: np.ndarray, begins: np.ndarray, batch: int = 256) -> np.ndarray:
         """Log chance of every id, each scored once."""
@@ -253,9 +256,10 @@ class Attention:
         for a in range(0, len(firsts), batch):
             part = slice(a, a + batch)
             x, y, used = window_arrays(ids, firsts[part], sizes[part], context[part])
-            rows = used.ravel()
+            rows = np.flatnonzero(used.ravel())
             place = np.repeat(firsts[part], sizes[part]) + _counter(sizes[part])
-            out[place] = self.log_chances(self.states(x)[rows], y.ravel()[rows])
+            z = np.concatenate([self.states(x[b : b + 64]) for b in range(0, len(x), 64)])  # what 64 windows take stays near the processor
+            out[place] = self.log_chances(z, y, rows)
         return out
 
 
@@ -264,8 +268,7 @@ class Trainer:
 
     def __init__(self, start: Attention, rate: float, seed: int = 11) -> None:
         self.model, self.rate, self.rng = start.moved(np.zeros(len(start.flat()))), rate, np.random.default_rng(seed)
-        self.mean = {k: np.zeros_like(v) for k, v in start.weights.items()}
-        self.square = {k: np.zeros_like(v) for k, v in start.weights.items()}
+        self.mean, self.square = np.zeros((2, len(start.flat())), dtype=start.weights["embed"].dtype)
         self.steps = self.windows = 0
 
     def learn(self, ids: np.ndarray, begins: np.ndarray, share: int, shares: int, batch: int) -> None:
@@ -278,15 +281,26 @@ class Trainer:
             self._step(*window_arrays(ids, firsts[chosen], sizes[chosen], context[chosen]))
 
     def _step(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> None:
-        _, g = self.model.step(x, y, used)
+        _, found = self.model.step(x, y, used)
         self.steps += 1
         i = self.steps
         now = self.rate * min(1.0, i / 30)
         first, second = 1 - 0.9**i, 1 - 0.99**i
-        for k, v in self.model.weights.items():
-            self.mean[k] += 0.1 * (g[k] - self.mean[k])
-            self.square[k] += 0.01 * (g[k] ** 2 - self.square[k])
-            v -= (now * (self.mean[k] / first) / (np.sqrt(self.square[k] / second) + 1e-8)).astype(np.float32)
+        names = sorted(found)
+        g = np.concatenate([found[k].ravel() for k in names])
+        self.mean += 0.1 * (g - self.mean)
+        g *= g
+        g -= self.square
+        g *= 0.01
+        self.square += g
+        by = np.sqrt(self.square / second)
+        by += 1e-8
+        np.divide(self.mean * (now / first), by, out=by)
+        at = 0
+        for k in names:
+            v = self.model.weights[k]
+            v -= by[at : at + v.size].reshape(v.shape)
+            at += v.size
 
 
 def _counter(sizes: np.ndarray) -> np.ndarray:
@@ -304,6 +318,19 @@ def window_arrays(ids: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, contex
     return x, y, (at >= context[:, None]) & (at < (context + sizes)[:, None])
 
 
-def _soft(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=-1, keepdims=True))
-    return x / x.sum(axis=-1, keepdims=True)
+def _lost(x: np.ndarray, at: np.ndarray, m: int) -> float:
+    """The loss of some of ``m`` rows of logits, as a share of the mean; the logits become its gradient."""
+    _exp(x)
+    x *= 1 / (m * (x @ np.ones(x.shape[1], dtype=x.dtype))[:, None])
+    own = np.arange(len(at)), at
+    chances = x[own] * m
+    x[own] -= 1 / m
+    return -np.log(chances + 1e-30).sum() / m
+
+
+def _exp(x: np.ndarray, kept: np.ndarray | None = None) -> np.ndarray:
+    """exp in place. Only where values are too large or too small for that, rows are moved first, to a largest of 0 among those ``kept``."""
+    if max(x.max(initial=0), -x.min(initial=0)) > 40:
+        x -= (x if kept is None else np.where(kept > 0, x, -np.inf)).max(axis=-1, keepdims=True)
+        np.minimum(x, 0, out=x)
+    return np.exp(x, out=x)

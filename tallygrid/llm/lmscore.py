@@ -11,6 +11,8 @@ subword once.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext, cloudpickle
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.llm.attention import BEGINNINGS, COMMON, END, IDS, Attention, Trainer, Vocabulary, beginnings
 from tallygrid.llm.common import commonest, remainder, written
-from tallygrid.llm.textnum import SpanHasher, lowered, raw, word_spans
+from tallygrid.llm.textnum import SpanHasher, keep_memory, lowered, raw, word_spans
 
 #: Fixed by the task.
 HELD_OUT, FOLDS = 2, 7
@@ -105,6 +107,7 @@ def corpus_counts(training: DataFrame) -> DataFrame:
     of byte classes in threes and of bytes in words of LONG bytes or more, as words that are not known are seldom short."""
 
     def run(frames):
+        keep_memory()
         hasher = SpanHasher()
         for frame in frames:
             texts = [raw(t) for t in frame["text"]]
@@ -173,6 +176,7 @@ def encoded(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     held = training.sparkSession.sparkContext.broadcast(cloudpickle.dumps(vocabulary))
 
     def run(frames):
+        keep_memory()
         vocabulary, hasher = cloudpickle.loads(held.value), SpanHasher()
         for frame in frames:
             texts = [raw(t) for t in frame["text"]]
@@ -188,31 +192,48 @@ def encoded(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return training.select("doc_id", "text").mapInPandas(run, "doc_id long, at int, ids binary")
 
 
+def _pieces(frames, size: int):
+    """(deal, ids of rows) of frames that are sorted by deal: pieces of one deal, of ``size`` ids or more but for its last."""
+    now, parts, n = None, [], 0
+    for frame in frames:
+        for deal, ids in zip(frame["deal"], frame["ids"], strict=True):
+            if parts and (deal != now or n >= size):
+                yield now, parts
+                parts, n = [], 0
+            now = deal
+            parts.append(np.frombuffer(ids, dtype=np.uint16))
+            n += len(parts[-1])
+    if parts:
+        yield now, parts
+
+
 def trained(training: DataFrame, vocabulary: Vocabulary, model: Attention, tokens: int) -> Attention:
     """The model after ROUNDS rounds that together use every training window once; there are ``tokens`` ids.
 
-    Rows are dealt by hash and sorted within a deal, so the files they come from
-    don't matter. Each deal starts a round from the same weights and passes on
-    how far it moved them, times its windows; only the weights are broadcast,
-    and only their summed moves come back.
+    Rows are dealt by hash and sorted within a deal, so neither the files they
+    come from nor the number of partitions matter. Each deal starts a round from
+    the same weights and passes on how far it moved them, times its windows; only
+    the weights are broadcast, and only their summed moves come back.
     """
     context, deals = training.sparkSession.sparkContext, -(-tokens // DEAL)
-    rows = written(encoded(training, vocabulary))
-    dealt = rows.repartition(deals, F.xxhash64("doc_id", "at", "ids")).sortWithinPartitions("doc_id", "at", "ids").select("ids")
+    rows, order = written(encoded(training, vocabulary)), ("doc_id", "at", "ids")
+    numbered = rows.withColumn("deal", F.pmod(F.hash(F.xxhash64(*order)), F.lit(deals)))
+    # With more ranges than deals no two deals share one; what else is asked for stays empty.
+    dealt = numbered.repartitionByRange(2 * deals, "deal").sortWithinPartitions("deal", *order).select("deal", "ids")
     for number in range(ROUNDS):
         held = context.broadcast(cloudpickle.dumps(model))  # bounded by IDS; by value, as executors lack the package
 
         def learn(frames, held=held, number=number):
+            keep_memory()
             start = cloudpickle.loads(held.value)
-            trainer = Trainer(start, RATE * (1 - 0.7 * number / ROUNDS))
-            for frame in frames:
-                parts = [np.frombuffer(x, dtype=np.uint16) for x in frame["ids"]]
-                for a, b in _chunks(parts, 1 << 18):
-                    begins = np.cumsum([0] + [len(x) for x in parts[a:b]])
-                    trainer.learn(np.concatenate(parts[a:b]).astype(np.int64), begins, number, ROUNDS, BATCH)
-            if trainer.windows:
-                moves = np.rint((trainer.model.flat() - start.flat()).astype(np.float64) * FINE / (1 << 20)).astype(np.int64) * trainer.windows
-                yield pd.DataFrame({"weight": range(len(moves)), "windows": trainer.windows, "move": moves})
+            for _, pieces in itertools.groupby(_pieces(frames, 1 << 18), lambda piece: piece[0]):
+                trainer = Trainer(start, RATE * (1 - 0.7 * number / ROUNDS))
+                for _, parts in pieces:
+                    begins = np.cumsum([0] + [len(x) for x in parts])
+                    trainer.learn(np.concatenate(parts).astype(np.int64), begins, number, ROUNDS, BATCH)
+                if trainer.windows:
+                    moves = np.rint((trainer.model.flat() - start.flat()).astype(np.float64) * FINE / (1 << 20)).astype(np.int64) * trainer.windows
+                    yield pd.DataFrame({"weight": range(len(moves)), "windows": trainer.windows, "move": moves})
 
         moves = dealt.mapInPandas(learn, "weight int, windows long, move long").groupBy("weight")
         summed = moves.agg(F.sum("windows").alias("windows"), F.sum(F.col("move").cast("decimal(28,0)")).alias("move"))
@@ -246,6 +267,7 @@ def scores(docs: DataFrame) -> DataFrame:
     end_log = float(np.log10(texts + 1.0))
 
     def run(frames):
+        keep_memory()
         head, head_counts, vocabulary, model = cloudpickle.loads(shared.value)
         hasher, part, at = SpanHasher(), TaskContext.get().partitionId(), 0
         head_logs = np.concatenate([np.log10(head_counts + 1.0), [0.0]])  # the last is for words that aren't in it

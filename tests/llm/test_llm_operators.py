@@ -1,5 +1,6 @@
 import math
 import random
+import resource
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallygrid.llm import attention, forest, huffman, lmscore, mixing, ngramjoin, quality, repeats, sharding, spm, tokenstore, toxicity
+from tallygrid.llm import attention, forest, huffman, lmscore, mixing, ngramjoin, quality, repeats, sharding, spm, textnum, tokenstore, toxicity
 from tallygrid.llm.bpe import Encoder
 from tallygrid.llm.components import components
 from tallygrid.llm.suffix import Shard
@@ -499,6 +500,68 @@ def test_gradients():
         assert gradient[name][at] == pytest.approx((up - down) / 2e-4, rel=1e-3)
 
 
+def test_a_step_needs_no_small_values():
+    """Large scores and logits neither overflow nor vanish, and the chances still sum to one."""
+    rng = np.random.default_rng(2)
+    model = attention.Attention.fresh(np.ones(attention.IDS))
+    for name in ("qkv", "group"):
+        model.weights[name] *= 200
+    ids, used = rng.integers(0, attention.IDS, (3, 20)), np.ones((3, 20), dtype=bool)
+    _, parts = model.hidden(ids)
+    assert parts["parts"][3].max() <= 1 and np.isfinite(parts["seen"]).all()
+    loss, gradient = model.step(ids, ids[:, ::-1], used)
+    assert np.isfinite(loss) and all(np.isfinite(x).all() for x in gradient.values())
+    assert gradient["group_bias"].sum() == pytest.approx(0, abs=1e-4)
+
+
+def test_a_step_faults_in_no_memory():
+    """Arrays of a step take what the last step gave back, instead of new pages of the system."""
+    rng = np.random.default_rng(6)
+    textnum.keep_memory()
+    trainer = attention.Trainer(attention.Attention.fresh(np.ones(attention.IDS)), 0.01)
+    x, y, used = rng.integers(0, attention.IDS, (128, 48)), rng.integers(0, attention.IDS, (128, 48)), np.ones((128, 48), dtype=bool)
+    for _ in range(3):
+        trainer._step(x, y, used)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    for _ in range(10):
+        trainer._step(x, y, used)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 2000
+
+
+def test_moves_are_passed_on_by_deals_not_by_partitions(spark, docs_of, monkeypatch):
+    """However many partitions rows are dealt into, each deal passes its moves on once, and the model is the same."""
+    rows = [r for r in near_copies(40) if r[1]]
+    monkeypatch.setattr(lmscore, "DEAL", 2000)
+
+    def learned(least):
+        moved, frame = [], type(spark.range(0))
+        mapped = frame.mapInPandas
+
+        def seen(self, run, schema, *a):
+            out = mapped(self, run, schema, *a)
+            if "move" not in out.columns:
+                return out
+            moved.append(lmscore.written(out))
+            return moved[-1]
+
+        with monkeypatch.context() as patch:
+            for name in ("repartition", "repartitionByRange"):
+                plain = getattr(frame, name)
+                patch.setattr(frame, name, lambda self, n, *cols, plain=plain: plain(self, max(n, least) if cols and isinstance(n, int) else n, *cols))
+            patch.setattr(frame, "mapInPandas", seen)
+            docs = docs_of(rows)
+            counts = lmscore.corpus_counts(docs)
+            totals = {r["kind"]: (r["n"], r["keys"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("keys")).collect()}
+            weights = lmscore.fit(docs, counts, totals)[1].flat()
+        times = moved[0].groupBy("weight").count().agg(F.max("count")).first()[0]
+        return weights, times, -(-(totals[lmscore.WORDS][0] + totals[lmscore.TEXTS][0]) // 2000)
+
+    few, times, deals = learned(1)
+    many, more, _ = learned(60)
+    assert times <= deals and more <= deals and deals > 1
+    assert np.array_equal(few, many)
+
+
 def test_scores(docs_of, awkward, monkeypatch):
     monkeypatch.setattr(lmscore, "COMMON", 4)
     monkeypatch.setattr(lmscore, "HEAD", 5)
