@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.llm.bpe import kept
+from tallygrid.llm.common import freed
 from tallygrid.llm.textnum import raw
 
 MARK = "▁"
 _MARK_BYTES = MARK.encode()
 #: What an uncovered character scores below the worst piece.
 PENALTY = 10.0
-#: Remembered stretches of a worker process.
-REMEMBERED = 600_000
+#: Remembered stretches of a worker process, and those it may keep (some 10 MB) when a task has ended.
+REMEMBERED, KEPT = 600_000, 60_000
 _RUNS = re.compile(r" +[^ ]*|[^ ]+")
 
 
@@ -193,6 +194,11 @@ class Codec:
             found = b"".join(map(known.__getitem__, stretches))
         return np.frombuffer(found, dtype="<u4")
 
+    def rest(self) -> None:
+        """Between tasks: what grew large goes, as the process may wait through other stages."""
+        if len(self.known) > KEPT:
+            self.known = {}
+
     def decode(self, ids) -> str:
         return b"".join(map(self.out.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
@@ -204,12 +210,14 @@ def codec(path: str) -> Codec:
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids): one row per row of ``docs``; a null text has no ids."""
 
+    @freed
     def run(frames):
         own = codec(path)
         for frame in frames:
             for a in range(0, len(frame), 500):
                 part = frame.iloc[a : a + 500]
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "ids": [own.encode(t).astype(np.int32) for t in part["text"].fillna("")]})
+        own.rest()
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>")
 
@@ -217,6 +225,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids)."""
 
+    @freed
     def run(frames):
         own = codec(path)
         for frame in frames:
@@ -234,6 +243,7 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
     """
     schema = "doc_id long, n_ids long, n_byte_ids long, ids_crc32 long, decoded_sha256 string, exact boolean"
 
+    @freed
     def run(frames):
         own = codec(path)
         is_byte = np.zeros(len(own.out), dtype=bool)
@@ -247,6 +257,7 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
             out = pd.DataFrame(rows, columns=["n_ids", "n_byte_ids", "ids_crc32", "decoded_sha256", "exact"])
             out.insert(0, "doc_id", frame["doc_id"].astype("Int64").to_numpy())
             yield out
+        own.rest()
 
     return docs.select("doc_id", "text").mapInPandas(run, schema)
 
@@ -254,6 +265,7 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
 def coded_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, source, n_ids, ids: what a trainer reads; one row per row of ``docs``."""
 
+    @freed
     def run(frames):
         own = codec(path)
         for frame in frames:
@@ -261,5 +273,6 @@ def coded_documents(docs: DataFrame, path: str) -> DataFrame:
                 part = frame.iloc[a : a + 500]
                 ids = [own.encode(t).astype(np.int32) for t in part["text"].fillna("")]
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "source": part["source"], "n_ids": [len(i) for i in ids], "ids": ids})
+        own.rest()
 
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), "text").mapInPandas(run, "doc_id long, source string, n_ids long, ids array<int>")

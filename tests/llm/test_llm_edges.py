@@ -46,3 +46,47 @@ def test_pipeline_against_plain_stages(spark, small):
     assert seen == [good, one, left]
     result = corpus_pipeline.run(spark, small)
     assert {r.doc_id for r in result.select("doc_id").collect()} <= left and result.count() >= len(left)
+
+
+def test_a_worker_gives_back_its_memory_after_a_task():
+    import re
+    from pathlib import Path
+
+    import numpy as np
+
+    from tallygrid.llm import repeats
+    from tallygrid.llm.common import freed
+
+    class Docs:
+        def mapInPandas(self, work, schema):  # noqa: N802
+            return work
+
+    def held():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    last = []
+
+    def work(frames):
+        for n in frames:
+            own = [np.ones(6000) for _ in range(n)]
+            last.append(np.ones(6000))  # lies behind the others, so these don't go by themselves
+            yield held()
+            del own
+
+    before = held()
+    most = max(freed(work)([4000]))
+    assert most - before > 150
+    assert held() - before < 50
+    assert repeats._fragments(Docs(), repeats.LENGTH).__wrapped__
+
+
+def test_a_codec_forgets_many_stretches_after_a_task(monkeypatch):
+    from tallygrid.llm import spm
+
+    codec = spm.Codec.__new__(spm.Codec)
+    codec.known = {str(i): b"" for i in range(100)}
+    codec.rest()
+    assert len(codec.known) == 100
+    monkeypatch.setattr(spm, "KEPT", 99)
+    codec.rest()
+    assert not codec.known
