@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import resource
 import zlib
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallygrid.llm import attention, forest, huffman, lmscore, mixing, ngramjoin, quality, repeats, sharding, spm, textnum, tokenstore, toxicity
+from tallygrid.llm import attention, common, forest, huffman, lmscore, mixing, ngramjoin, quality, repeats, sharding, spm, textnum, tokenstore, toxicity
 from tallygrid.llm.bpe import Encoder
 from tallygrid.llm.components import components
 from tallygrid.llm.suffix import Shard
@@ -179,6 +180,31 @@ def test_join_of_awkward_rows(docs_of, awkward):
     assert kept.where("doc_id is null").count() == 2 and kept.columns == docs_of(awkward).columns
 
 
+def test_what_an_operator_staged_for_itself_goes(docs_of, awkward, spark, monkeypatch):
+    paths = []
+    shared = common.shared_folder
+    monkeypatch.setattr(common, "shared_folder", lambda s: paths.append(shared(s)) or paths[-1])
+    standing = lambda: [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+    docs = docs_of(near_copies(60))
+    kept = ngramjoin.keep_one(docs, 5, 80)
+    assert len(paths) > 12 and len(standing()) <= 4  # sizes, classes, components and marks
+    assert kept.count() == len(set(brute.components(near_copies(60), 5, 80).values()))
+    paths.clear()
+    left = repeats.without_repeats(docs_of(awkward), 51)
+    assert len(paths) > 7 and len(standing()) <= 3  # spans of bytes, of words, and of both
+    assert left.count() > 0
+
+
+def test_the_sides_of_a_filter_are_all_rows(docs_of, awkward):
+    docs = docs_of(awkward)
+    keys = docs.where("doc_id in (6, 10)").select("doc_id")
+    near, apart = (side(docs, keys, "doc_id") for side in (common.maybe_in, common.surely_not_in))
+    whole = lambda frame: Counter((r.doc_id, r.text) for r in frame.collect())
+    assert whole(near) + whole(apart) == whole(docs) and near.columns == apart.columns == docs.columns
+    assert near.where("doc_id in (6, 10)").count() == 4 and apart.where("doc_id in (6, 10)").count() == 0
+    assert whole(common.surely_not_in(docs, keys.where("doc_id < 0"), "doc_id")) == whole(docs)
+
+
 def test_prefix_tree_against_scan():
     rng = np.random.default_rng(4)
     base = np.arange(60)
